@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coinfold.schemas import CORRUPT
+
 # Audited fields per level.
 AUDITED = {
     "block": (
@@ -70,15 +72,15 @@ def field_audit(raw: DataFrame) -> DataFrame:
     txs = F.filter("tx", lambda t: t.isNotNull() & t["bare_txid"].isNull())
     vins = F.flatten(F.transform(txs, lambda t: _objects(t["vin"])))
     vouts = F.flatten(F.transform(txs, lambda t: _objects(t["vout"])))
-    per_block = raw.where(F.col("hash").isNotNull()).select(
-        *AUDITED["block"], F.size(_or_empty(txs)).alias("_txs"), vins.alias("_vins"),
+    per_block = raw.select(
+        _is_block(raw).alias("_block"), *AUDITED["block"], F.size(_or_empty(txs)).alias("_txs"), vins.alias("_vins"),
         vouts.alias("_vouts"),
     )
     prevouts = F.transform("_vins", lambda v: v["prevout"])
     issuances = F.transform("_vins", lambda v: F.coalesce(v["issuance"], v["assetissuance"]))
     levels = {"vin": F.col("_vins"), "vout": F.col("_vouts"), "prevout": prevouts,
               "issuance": issuances}
-    sums = {("block", "", "sampled"): F.count("*"), ("tx", "", "sampled"): F.sum("_txs")}
+    sums = {("block", "", "sampled"): F.count_if("_block"), ("tx", "", "sampled"): F.sum("_txs")}
     for field in AUDITED["block"]:
         sums["block", field, "hits"] = F.count(field)
     for level, items in levels.items():
@@ -99,7 +101,7 @@ def field_audit(raw: DataFrame) -> DataFrame:
         for level, fields in AUDITED.items()
         for field in fields
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.select(F.inline_outer(F.array(*rows)))
 
 
 def sampled_counts(raw: DataFrame) -> DataFrame:
@@ -109,8 +111,8 @@ def sampled_counts(raw: DataFrame) -> DataFrame:
         F.transform(txs, lambda t: F.size(_or_empty(_objects(t[f])))),
         F.lit(0), lambda total, n: total + n,
     )
-    return raw.where(F.col("hash").isNotNull()).agg(
-        F.count("*").alias("blocks"),
+    return raw.agg(
+        F.count_if(_is_block(raw)).alias("blocks"),
         F.coalesce(F.sum(F.size(_or_empty(txs))), F.lit(0)).alias("transactions"),
         F.coalesce(F.sum(inner("vin")), F.lit(0)).alias("vins"),
         F.coalesce(F.sum(inner("vout")), F.lit(0)).alias("vouts"),
@@ -120,20 +122,22 @@ def sampled_counts(raw: DataFrame) -> DataFrame:
 def prunable_columns(audit: DataFrame) -> DataFrame:
     """``table_name, field, column_name`` of candidates that were never filled, only for
     levels that were seen at all."""
-    candidates = [
-        (table, level, field, column)
-        for (table, level), fields in PRUNABLE.items()
-        for field, columns in fields.items()
-        for column in columns
-    ]
-    never = audit.where((F.col("sampled") > 0) & (F.col("hits") == 0)).select("level", "field")
-    listed = never.sparkSession.createDataFrame(
-        candidates, "table_name string, level string, field string, column_name string"
-    )
-    # Both sides have a fixed number of rows, whatever the data.
-    return never.join(F.broadcast(listed), ["level", "field"]).select(
-        "table_name", "field", "column_name"
+    columns: dict[tuple[str, str], list[Column]] = {}
+    for (table, level), fields in PRUNABLE.items():
+        for field, fed in fields.items():
+            columns[level, field] = [
+                F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"))
+                for c in fed
+            ]
+    fed_by = F.create_map(
+        *[x for (level, field), fed in columns.items()
+          for x in (F.lit(f"{level}.{field}"), F.array(*fed))]
     )
+    never = (F.col("sampled") > 0) & (F.col("hits") == 0)
+    unused = F.when(never, F.try_element_at(fed_by, F.concat_ws(".", "level", "field")))
+    return audit.select("field", F.inline_outer(unused)).where(
+        F.col("table_name").isNotNull()
+    ).select("table_name", "field", "column_name")
 
 
 def drop_statements(prunable: DataFrame) -> DataFrame:
@@ -145,6 +149,11 @@ def drop_statements(prunable: DataFrame) -> DataFrame:
     )
 
 
+def _is_block(raw: DataFrame) -> Column:
+    """False for lines that are no block at all."""
+    return F.col(CORRUPT).isNull() if CORRUPT in raw.columns else F.lit(True)
+
+
 def _objects(items: Column) -> Column:
     return F.coalesce(F.filter(items, lambda x: x.isNotNull()), F.slice(items, 1, 0))
 

@@ -33,7 +33,7 @@ def check_results(df: DataFrame, checks: list[Check]) -> DataFrame:
         )
         for i, check in enumerate(checks)
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.select(F.inline_outer(F.array(*rows)))
 
 
 def score(results: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ Two views, both whole-table and without collecting rows into groups:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinfold.sources.raw import parse_raw_blocks
@@ -27,17 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_block_text(lines: DataFrame) -> DataFrame:
     """One JSON block per order line in column ``value``."""
-    return with_line_columns(lines).select(F.to_json(_block()).alias("value"))
+    return with_line_columns(lines).selectExpr(f"to_json({_block()}) AS value")
 
 
 def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_raw_blocks(raw_block_text(table(spark, sf_dir, "lineitem")))
+    lines = spread(table(spark, sf_dir, "lineitem"))
+    return parse_raw_blocks(raw_block_text(lines))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that is one small file. A table with enough files
+    for the cluster is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def with_line_columns(lines: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    cost = (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,4)")
-    return lines.select(
+    return lines.selectExpr(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -45,198 +51,183 @@ def with_line_columns(lines: DataFrame) -> DataFrame:
         "l_quantity",
         "l_returnflag",
         "l_linestatus",
-        F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias(
-            "id"
-        ),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("height"),
-        F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("time"),
-        price.alias("price"),
-        cost.alias("cost"),
-        (price - cost * 2).cast("decimal(18,4)").alias("kept"),
-        F.concat(F.lit("a"), F.right(F.col("l_suppkey").cast("string"), F.lit(1))).alias("asset"),
-        (F.col("l_returnflag") == "R").alias("hidden"),
-        ((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")).alias("pegin"),
-        F.lpad(F.lower(F.hex("l_partkey")), 8, "0").alias("payload"),
+        "md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS id",
+        "l_orderkey * 8 + l_linenumber AS height",
+        "unix_timestamp(CAST(l_shipdate AS TIMESTAMP)) AS time",
+        "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
+        "CAST(price * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS cost",
+        "CAST(price - cost * 2 AS DECIMAL(18,4)) AS kept",
+        "concat('a', right(l_suppkey, 1)) AS asset",
+        "l_returnflag = 'R' AS hidden",
+        "l_linestatus = 'F' AND l_returnflag = 'A' AS pegin",
+        "lpad(lower(hex(l_partkey)), 8, '0') AS payload",
     )
 
 
-def _block() -> Column:
-    returned, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return F.struct(
-        _id("b").alias("hash"),
-        F.col("height"),
-        F.lit(2).alias("version"),
-        F.col("time"),
-        (F.col("time") - 600).alias("mediantime"),
-        F.when(returned != "R", F.lit(2)).alias("nTx"),
-        (F.col("l_quantity").cast("bigint") * 100).alias("size"),
-        F.concat(F.lit("n"), "id").alias("nextblockhash"),
-        F.when(status == "F", "51").alias("signblock_challenge"),
-        F.when(returned == "A", "fed").alias("current_federation"),
-        F.concat(F.lit("params-"), status).alias("current_params"),
-        F.when(returned == "N", "00").alias("bits"),
-        F.array(_mint(), _payment()).alias("tx"),
+# Structs of the raw form, null where a line has nothing to say: nulls are left out of the
+# text. Every variant of an input or output lists the same fields.
+_NO_SCRIPT = {"hex": "null", "asm": "null", "type": "null", "address": "null",
+              "addresses": "CAST(null AS ARRAY<STRING>)"}
+_NO_ISSUANCE = "CAST(null AS STRUCT<assetamount:STRING,tokenamount:STRING,assetEntropy:STRING>)"
+_NO_VIN = {
+    "coinbase": "null", "txid": "null", "vout": "null", "sequence": "null",
+    "scriptSig": "CAST(null AS STRUCT<hex:STRING,asm:STRING>)",
+    "txinwitness": "CAST(null AS ARRAY<STRING>)", "witness": "CAST(null AS ARRAY<STRING>)",
+    "is_pegin": "null", "pegin_value": "null", "pegin_asset": "null",
+    "issuance": _NO_ISSUANCE, "assetissuance": _NO_ISSUANCE,
+    "prevout": "CAST(null AS STRUCT<value:STRING,asset:STRING,valuecommitment:STRING,"
+    "scriptPubKey:STRUCT<hex:STRING,asm:STRING,type:STRING,address:STRING,"
+    "addresses:ARRAY<STRING>>>)",
+}
+_NO_VOUT = {
+    "n": "null", "value": "null", "asset": "null", "valuecommitment": "null",
+    "assetcommitment": "null", "is_pegout": "null",
+    "pegout": "CAST(null AS STRUCT<genesis_hash:STRING,value:STRING,asset:STRING>)",
+    "scriptPubKey": "null",
+}
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def _script(**given: str) -> str:
+    return _struct({**_NO_SCRIPT, **given})
+
+
+def _vin(**given: str) -> str:
+    return _struct({**_NO_VIN, **given})
+
+
+def _vout(**given: str) -> str:
+    return _struct({**_NO_VOUT, **given})
+
+
+def _block() -> str:
+    return _struct(
+        {
+            "hash": "concat('b', id)",
+            "height": "height",
+            "version": "2",
+            "time": "time",
+            "mediantime": "time - 600",
+            "nTx": "if(l_returnflag <> 'R', 2, null)",
+            "size": "CAST(l_quantity AS BIGINT) * 100",
+            "nextblockhash": "concat('n', id)",
+            "signblock_challenge": "if(l_linestatus = 'F', '51', null)",
+            "current_federation": "if(l_returnflag = 'A', 'fed', null)",
+            "current_params": "concat('params-', l_linestatus)",
+            "bits": "if(l_returnflag = 'N', '00', null)",
+            "tx": f"array({_mint()}, {_payment()})",
+        }
     )
 
 
-def _id(prefix: str) -> Column:
-    return F.concat(F.lit(prefix), "id")
-
-
-def _text(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("string")
-
-
-def _none(kind: str = "string") -> Column:
-    return F.lit(None).cast(kind)
-
-
-def _script(**given: Column) -> Column:
-    names = {"hex": "string", "asm": "string", "type": "string", "address": "string",
-             "addresses": "array<string>"}
-    return F.struct(*[given.get(n, _none(kind)).alias(n) for n, kind in names.items()])
-
-
-def _vin(**given: Column) -> Column:
-    issued = "struct<assetamount:string,tokenamount:string,assetEntropy:string>"
-    names = {
-        "coinbase": "string", "txid": "string", "vout": "bigint", "sequence": "bigint",
-        "scriptSig": "struct<hex:string,asm:string>", "txinwitness": "array<string>",
-        "witness": "array<string>", "is_pegin": "boolean", "pegin_value": "string",
-        "pegin_asset": "string", "issuance": issued, "assetissuance": issued,
-        "prevout": "struct<value:string,asset:string,valuecommitment:string,"
-        "scriptPubKey:struct<hex:string,asm:string,type:string,address:string,"
-        "addresses:array<string>>>",
-    }
-    return F.struct(*[given.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in names.items()])
-
-
-def _vout(**given: Column) -> Column:
-    names = {
-        "n": "bigint", "value": "string", "asset": "string", "valuecommitment": "string",
-        "assetcommitment": "string", "is_pegout": "boolean",
-        "pegout": "struct<genesis_hash:string,value:string,asset:string>",
-        "scriptPubKey": "struct<hex:string,asm:string,type:string,address:string,"
-        "addresses:array<string>>",
-    }
-    return F.struct(*[given.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in names.items()])
-
-
-def _tx(prefix: str, vsize: Column, fee: Column, vin: list[Column], vout: list[Column]) -> Column:
-    return F.struct(
-        _id(prefix).alias("txid"),
-        F.when(F.lit(prefix == "t"), _id("h")).alias("hash"),
-        F.lit(2).alias("version"),
-        F.col("l_partkey").alias("size"),
-        vsize.alias("vsize"),
-        fee.cast("map<string,string>").alias("fee"),
-        F.array(*vin).alias("vin"),
-        F.array(*vout).alias("vout"),
+def _tx(txid: str, given: str, vsize: str, fee: str, vin: list[str], vout: list[str]) -> str:
+    return _struct(
+        {
+            "txid": txid,
+            "hash": given,
+            "version": "2",
+            "size": "l_partkey",
+            "vsize": vsize,
+            "fee": fee,
+            "vin": f"array({', '.join(vin)})",
+            "vout": f"array({', '.join(vout)})",
+        }
     )
 
 
-def _mint() -> Column:
-    coinbase = F.concat(F.lit("0171010"), _text("l_linenumber"))
+def _mint() -> str:
     return _tx(
-        "m",
-        F.lit(90.5),
-        _none("map<string,string>"),
+        "concat('m', id)",
+        "null",
+        "90.5D",
+        "CAST(null AS MAP<STRING,STRING>)",
         [
             _vin(
-                coinbase=coinbase,
-                sequence=F.lit(MINT_SEQUENCE),
-                txinwitness=F.array(F.lit("00"), F.col("payload")),
+                coinbase="concat('0171010', l_linenumber)",
+                sequence=f"{MINT_SEQUENCE}L",
+                txinwitness="array('00', payload)",
             )
         ],
         [
-            _vout(n=F.lit(0), value=F.lit("0"), scriptPubKey=_script(hex=F.lit("6a"))),
+            _vout(n="0", value="'0'", scriptPubKey=_script(hex="'6a'")),
             _vout(
-                n=F.lit(1),
-                value=F.lit("0.00000000"),
-                scriptPubKey=_script(
-                    hex=F.concat(F.lit("6a04"), "payload"), type=F.lit("nulldata")
-                ),
+                n="1",
+                value="'0.00000000'",
+                scriptPubKey=_script(hex="concat('6a04', payload)", type="'nulldata'"),
             ),
         ],
     )
 
 
-def _payment() -> Column:
-    hidden, pegin = F.col("hidden"), F.col("pegin")
-    line, status, returned = F.col("l_linenumber"), F.col("l_linestatus"), F.col("l_returnflag")
-    issued = F.struct(
-        F.lit("1.0").alias("assetamount"),
-        F.lit("0.000000005").alias("tokenamount"),
-        _text("l_suppkey").alias("assetEntropy"),
-    )
-    owner = F.concat(F.lit("addr"), _text("l_suppkey"))
-    spent = F.struct(
-        F.when(~hidden, _text("price")).alias("value"),
-        F.when(~hidden, F.col("asset")).alias("asset"),
-        F.when(hidden, _id("vc")).alias("valuecommitment"),
-        _script(
-            hex=F.lit("0014"), type=F.lit("witness_v0_keyhash"), address=owner
-        ).alias("scriptPubKey"),
-    )
-    small = F.struct(
-        F.lit("1.5").alias("value"),
-        F.lit("a0").alias("asset"),
-        _none().alias("valuecommitment"),
-        _script(addresses=F.array(owner, F.lit("second"))).alias("scriptPubKey"),
+def _payment() -> str:
+    issued = (
+        "named_struct('assetamount', '1.0', 'tokenamount', '0.000000005',"
+        " 'assetEntropy', CAST(l_suppkey AS STRING))"
     )
+    owner = "concat('addr', l_suppkey)"
+    prevout = {"value": "null", "asset": "null", "valuecommitment": "null"}
+    spent = {
+        **prevout,
+        "value": "if(hidden, null, CAST(price AS STRING))",
+        "asset": "if(hidden, null, asset)",
+        "valuecommitment": "if(hidden, concat('vc', id), null)",
+        "scriptPubKey": _script(hex="'0014'", type="'witness_v0_keyhash'", address=owner),
+    }
+    small = {
+        **prevout,
+        "value": "'1.5'",
+        "asset": "'a0'",
+        "scriptPubKey": _script(addresses=f"array({owner}, 'second')"),
+    }
     return _tx(
-        "t",
-        F.col("l_quantity") + 0.5,
-        F.create_map(F.col("asset"), _text("cost"), F.lit("odd"), F.lit("0.000000001")),
+        "concat('t', id)",
+        "concat('h', id)",
+        "l_quantity + 0.5D",
+        "map(asset, CAST(cost AS STRING), 'odd', '0.000000001')",
         [
             _vin(
-                txid=_id("p"),
-                vout=line - 1,
-                sequence=F.col("l_suppkey"),
-                scriptSig=F.struct(
-                    F.lit("51").alias("hex"), F.when(returned != "A", "given").alias("asm")
-                ),
-                witness=F.array(_text("l_quantity")),
-                is_pegin=F.when(pegin, F.lit(True)),
-                pegin_value=F.when(pegin, _text("price")),
-                pegin_asset=F.when(pegin, F.col("asset")),
-                issuance=F.when(line == 7, issued),
-                assetissuance=F.when(line == 6, issued),
-                prevout=spent,
+                txid="concat('p', id)",
+                vout="l_linenumber - 1",
+                sequence="l_suppkey",
+                scriptSig="named_struct('hex', '51', 'asm', if(l_returnflag = 'A', null, 'given'))",
+                witness="array(CAST(l_quantity AS STRING))",
+                is_pegin="if(pegin, true, null)",
+                pegin_value="if(pegin, CAST(price AS STRING), null)",
+                pegin_asset="if(pegin, asset, null)",
+                issuance=f"if(l_linenumber = 7, {issued}, null)",
+                assetissuance=f"if(l_linenumber = 6, {issued}, null)",
+                prevout=_struct(spent),
             ),
-            _vin(txid=_id("q"), vout=F.lit(0), sequence=F.lit(0), prevout=small),
+            _vin(txid="concat('q', id)", vout="0", sequence="0", prevout=_struct(small)),
         ],
         [
             _vout(
-                n=F.lit(0),
-                value=F.when(~hidden, _text("kept")),
-                asset=F.when(~hidden, F.col("asset")),
-                valuecommitment=F.when(hidden, _id("vc")),
-                assetcommitment=F.when(hidden, _id("ac")),
-                scriptPubKey=_script(
-                    hex=F.lit("0014"), type=F.lit("witness_v0_keyhash"), address=owner
-                ),
+                n="0",
+                value="if(hidden, null, CAST(kept AS STRING))",
+                asset="if(hidden, null, asset)",
+                valuecommitment="if(hidden, concat('vc', id), null)",
+                assetcommitment="if(hidden, concat('ac', id), null)",
+                scriptPubKey=_script(hex="'0014'", type="'witness_v0_keyhash'", address=owner),
             ),
             _vout(
-                n=F.lit(1),
-                value=_text("cost"),
-                asset=F.col("asset"),
-                scriptPubKey=_script(hex=F.lit(""), type=F.lit("fee")),
+                n="1",
+                value="CAST(cost AS STRING)",
+                asset="asset",
+                scriptPubKey=_script(hex="''", type="'fee'"),
             ),
             _vout(
-                n=F.lit(2),
-                value=F.lit("1.5"),
-                asset=F.lit("a0"),
-                is_pegout=F.when(line == 5, F.lit(True)),
-                pegout=F.when(
-                    status == "O",
-                    F.struct(
-                        _id("g").alias("genesis_hash"),
-                        F.lit("1.5").alias("value"),
-                        F.lit("a0").alias("asset"),
-                    ),
+                n="2",
+                value="'1.5'",
+                asset="'a0'",
+                is_pegout="if(l_linenumber = 5, true, null)",
+                pegout="if(l_linestatus = 'O', named_struct('genesis_hash', concat('g', id),"
+                " 'value', '1.5', 'asset', 'a0'), null)",
+                scriptPubKey=_script(
+                    type="if(l_returnflag = 'N', 'pegout', null)", address=owner
                 ),
-                scriptPubKey=_script(type=F.when(returned == "N", "pegout"), address=owner),
             ),
         ],
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,13 +39,15 @@ def parse_raw_blocks(df: DataFrame, text: str = "value") -> DataFrame:
     Parsing a text column into strings goes through doubles for number tokens. Rows with a
     number too long for that are read the slower exact way.
     """
-    exact = F.col(text).rlike(r"[:,\[]\s*-?[0-9.]{16,}")
+    long_number = F.col(text).rlike(r"[:,\[]\s*-?[0-9.]{16,}")
     parsed = F.from_json(text, _with_corrupt(), {"columnNameOfCorruptRecord": CORRUPT})
-    rows = df.select(F.when(exact, F.col(text)).alias("_long"), parsed.alias("_block")).select(
-        *[F.col("_block")[f].alias(f) for f in RAW_BLOCK.names],
-        F.coalesce("_long", F.col("_block")[CORRUPT]).alias(CORRUPT),
+    rows = df.select(F.when(long_number, F.col(text)).alias("_long"), parsed.alias("_block"))
+    return recover_malformed(
+        rows.selectExpr(
+            *[f"_block.{name}" for name in RAW_BLOCK.names],
+            f"coalesce(_long, _block.{CORRUPT}) AS {CORRUPT}",
+        )
     )
-    return recover_malformed(rows)
 
 
 def recover_malformed(df: DataFrame) -> DataFrame:
@@ -56,18 +58,14 @@ def recover_malformed(df: DataFrame) -> DataFrame:
     anything else becomes null at its position, transactions given as a plain id go to
     ``bare_txid``. Other rows only test one column.
     """
-    document = F.try_parse_json(F.col(CORRUPT))
     # The lambda keeps the large rebuild expression out of generated code.
-    rebuilt = F.transform(F.array(document), lambda d: _shape(d, RAW_BLOCK))[0]
-    broken = F.col(CORRUPT).isNotNull()
-    with_rebuilt = df.withColumn("_rebuilt", F.when(broken, rebuilt))
-    columns = [
-        F.when(broken, F.col("_rebuilt")[f.name]).otherwise(F.col(f.name)).alias(f.name)
-        for f in RAW_BLOCK.fields
-    ]
-    unusable = broken & F.col("_rebuilt").isNull()
-    return with_rebuilt.select(
-        *columns, F.when(unusable | F.col("hash").isNull(), F.col(CORRUPT)).alias(CORRUPT)
+    shape = _shape("block_", RAW_BLOCK)
+    rebuilt = f"transform(array(try_parse_json({CORRUPT})), block_ -> {shape})[0]"
+    with_rebuilt = df.selectExpr("*", f"if({CORRUPT} IS NULL, null, {rebuilt}) AS _rebuilt")
+    chosen = [f"if({CORRUPT} IS NULL, {n}, _rebuilt.{n}) AS {n}" for n in RAW_BLOCK.names]
+    # What stays broken: text that is no object, or an object without a hash.
+    return with_rebuilt.selectExpr(
+        *chosen, f"if(_rebuilt.hash IS NULL, {CORRUPT}, null) AS {CORRUPT}"
     )
 
 
@@ -115,30 +113,27 @@ def _with_corrupt() -> T.StructType:
     return T.StructType([*RAW_BLOCK.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
-
+def _shape(value: str, dtype: T.StructType) -> str:
+    """SQL for a schemaless object in the form of a struct type, null for anything else.
 
-def _shape(value: Column, dtype: T.DataType) -> Column:
-    """A schemaless object in the form of a struct type, null for anything else."""
-    fields = [
-        _field(value, f"$.{f.name}", f.dataType).cast(f.dataType).alias(f.name)
-        for f in dtype.fields
-    ]
+    Text, because one parsed expression is far quicker to build than thousands of calls.
+    """
+    fields = {f.name: _field(value, f.name, f.dataType) for f in dtype.fields}
+    usable = f"startswith(schema_of_variant({value}), 'OBJECT')"
     if dtype == RAW_TX:
-        bare = F.when(
-            F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")
-        )
-        fields[-1] = bare.alias("bare_txid")
-        return F.when(_is_object(value) | bare.isNotNull(), F.struct(*fields)).cast(dtype)
-    return F.when(_is_object(value), F.struct(*fields)).cast(dtype)
+        is_text = f"schema_of_variant({value}) = 'STRING'"
+        fields["bare_txid"] = f"if({is_text}, try_variant_get({value}, '$', 'string'), null)"
+        usable = f"({usable} OR {is_text})"
+    listed = ", ".join(f"'{name}', {sql}" for name, sql in fields.items())
+    return f"if({usable}, named_struct({listed}), null)"
 
 
-def _field(value: Column, path: str, dtype: T.DataType) -> Column:
+def _field(value: str, name: str, dtype: T.DataType) -> str:
+    # Lambda variables are named after the field they walk into, so that none hides another.
     if isinstance(dtype, T.StructType):
-        inner = F.try_variant_get(value, path, "variant")
-        return F.transform(F.array(inner), lambda v: _shape(v, dtype))[0]
+        inner = f"try_variant_get({value}, '$.{name}', 'variant')"
+        return f"transform(array({inner}), {name}_ -> {_shape(f'{name}_', dtype)})[0]"
     if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
-        inner = F.try_variant_get(value, path, "array<variant>")
-        return F.transform(inner, lambda v: _shape(v, dtype.elementType))
-    return F.try_variant_get(value, path, dtype.simpleString())
+        inner = f"try_variant_get({value}, '$.{name}', 'array<variant>')"
+        return f"transform({inner}, {name}_ -> {_shape(f'{name}_', dtype.elementType)})"
+    return f"try_variant_get({value}, '$.{name}', '{dtype.simpleString()}')"

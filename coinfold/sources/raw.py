@@ -36,16 +36,17 @@ def raw_block_stream(spark: SparkSession, path: str, max_files: int = 100) -> Da
 def parse_raw_blocks(df: DataFrame, text: str = "value") -> DataFrame:
     """Raw blocks from a text column, for topics and tables.
 
-    Parsing a text column into strings goes through doubles for number tokens. Rows with a
-    number too long for that are read the slower exact way.
+    Parsing text takes numbers through doubles, so fractional number tokens are quoted
+    first: as text they keep every digit.
     """
-    long_number = F.col(text).rlike(r"[:,\[]\s*-?[0-9.]{16,}")
-    parsed = F.from_json(text, _with_corrupt(), {"columnNameOfCorruptRecord": CORRUPT})
-    rows = df.select(F.when(long_number, F.col(text)).alias("_long"), parsed.alias("_block"))
+    parsed = F.from_json(
+        F.expr(_quoted(f"`{text}`")), _with_corrupt(), {"columnNameOfCorruptRecord": CORRUPT}
+    )
+    rows = df.select(F.col(text).alias("_text"), parsed.alias("_block"))
     return recover_malformed(
         rows.selectExpr(
             *[f"_block.{name}" for name in RAW_BLOCK.names],
-            f"coalesce(_long, _block.{CORRUPT}) AS {CORRUPT}",
+            f"if(_block.{CORRUPT} IS NULL, null, _text) AS {CORRUPT}",
         )
     )
 
@@ -59,8 +60,8 @@ def recover_malformed(df: DataFrame) -> DataFrame:
     ``bare_txid``. Other rows only test one column.
     """
     # The lambda keeps the large rebuild expression out of generated code.
-    shape = _shape("block_", RAW_BLOCK)
-    rebuilt = f"transform(array(try_parse_json({CORRUPT})), block_ -> {shape})[0]"
+    document = f"try_parse_json({_quoted(CORRUPT)})"
+    rebuilt = f"transform(array({document}), block_ -> {_shape('block_', RAW_BLOCK)})[0]"
     with_rebuilt = df.selectExpr("*", f"if({CORRUPT} IS NULL, null, {rebuilt}) AS _rebuilt")
     chosen = [f"if({CORRUPT} IS NULL, {n}, _rebuilt.{n}) AS {n}" for n in RAW_BLOCK.names]
     # What stays broken: text that is no object, or an object without a hash.
@@ -113,6 +114,15 @@ def _with_corrupt() -> T.StructType:
     return T.StructType([*RAW_BLOCK.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def _quoted(text: str) -> str:
+    """SQL that turns fractional number tokens into text tokens, except for the fields that
+    are doubles."""
+    doubles = "".join(f'(?<!"{name})' for name in ("vsize", "discountvsize", "difficulty"))
+    number = r"-?[0-9]+(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)"
+    pattern = doubles + r'(?<!\\)(":\s*)(' + number + r")(?=\s*[,}\]])"
+    return f"""regexp_replace({text}, r'{pattern}', '$1"$2"')"""
+
+
 def _shape(value: str, dtype: T.StructType) -> str:
     """SQL for a schemaless object in the form of a struct type, null for anything else.
 

@@ -95,37 +95,54 @@ def write_keyed(
     extra = [bucketed.schema[c] for c in order if c not in schema.names]
     shaped = _keyed(conform(bucketed, T.StructType([*stored.fields, *extra])), keys)
     single = one_per_key(shaped, keys, order, last=strategy == "update")
+    target = read_table(spark, path, schema)
+    if not _exists(spark, path):
+        _put(single.select(*stored.names), path, "overwrite")
+        return
     # The batch is used several times below: computed once, kept where a lost executor
     # cannot take it away.
     batch_dir = shared_dir(spark, "batch")
     single.select(*stored.names).write.mode("overwrite").parquet(batch_dir)
     batch = spark.read.schema(stored).parquet(batch_dir)
-    target = read_table(spark, path, schema)
     if strategy == "ignore":
         _put(batch.join(target.select(*keys), list(keys), "left_anti"), path, "append")
         return
     held = target.select(*keys, BUCKET).join(batch.select(*keys), list(keys), "left_semi")
-    touched = batch.select(BUCKET).unionByName(held.select(BUCKET)).distinct()
     # One value per touched bucket: bounded by the number of buckets, not by rows.
-    buckets = [r[0] for r in touched.collect()]
-    if buckets:
-        merged = upsert_plan(target.where(F.col(BUCKET).isin(buckets)), batch, keys)
-        replace_buckets(spark, path, merged, buckets)
+    given, left = _buckets(batch), _buckets(held)
+    if given:
+        touched = sorted(given | left)
+        merged = upsert_plan(target.where(F.col(BUCKET).isin(touched)), batch, keys)
+        replace_buckets(spark, path, merged, left - given)
 
 
 def replace_buckets(
-    spark: SparkSession, path: str, content: DataFrame, buckets: list[int]
+    spark: SparkSession, path: str, content: DataFrame, may_be_empty: set[int]
 ) -> None:
-    """Put new content in place of the given buckets, by way of a staging folder."""
+    """Put new content in place of the buckets it holds, by way of a staging folder. Buckets
+    that may have lost their last row are emptied if they did."""
     staging = shared_dir(spark, "staging")
     content.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(content.schema).parquet(staging)
     _put(staged, path, "overwrite")
-    filled = {r[0] for r in staged.select(BUCKET).distinct().collect()}
-    for bucket in sorted(set(buckets) - filled):
-        # A bucket that lost its last row gets an empty file.
-        empty = staged.drop(BUCKET).limit(0)
-        empty.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+    if may_be_empty:
+        for bucket in sorted(may_be_empty - _buckets(staged)):
+            empty = staged.drop(BUCKET).limit(0)
+            empty.write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+
+
+def _buckets(df: DataFrame) -> set[int]:
+    return {r[0] for r in df.select(BUCKET).distinct().collect()}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def _keyed(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -200,11 +217,12 @@ class Ledger:
                 raise
             return self.spark.createDataFrame([], "batch_id string")
 
-    def replace(self, tables: dict[str, DataFrame], buckets: list[int]) -> None:
+    def replace(self, tables: dict[str, DataFrame], buckets: set[int]) -> None:
         """Replace buckets of every table, children first so that a break leaves no row
         without its parent."""
         for name in ("txins", "txouts", "transactions", "blocks"):
-            replace_buckets(self.spark, self.path(name), tables[name], buckets)
+            if _exists(self.spark, self.path(name)):
+                replace_buckets(self.spark, self.path(name), tables[name], buckets)
 
 
 # ---- layouts of earlier versions ---------------------------------------------------------

@@ -16,7 +16,7 @@ _PICK = "SELECT id, height, value FROM seen WHERE "
 
 
 def _seen(spark, sf):
-    lines = view.with_line_columns(view.table(spark, sf, "lineitem"))
+    lines = view.with_line_columns(view.spread(view.table(spark, sf, "lineitem")))
     return lines.select(
         "id", "height", "asset", F.when(~F.col("hidden"), F.col("kept").cast("string")).alias(
             "value"), "pegin", "l_quantity", "l_linenumber", "payload",

@@ -314,16 +314,16 @@ def ranges_to_repair(spark, sf):
 
 
 @query(
-    "W6",
-    f"""SELECT CAST({FIRST_MINUTE} AS BIGINT) AS start_missing,
-      CAST({LAST_MINUTE} AS BIGINT) AS end_missing, count(*) AS blocks FROM events
-    WHERE floor(floor(epoch(ts)) / 60) BETWEEN {FIRST_MINUTE} AND {LAST_MINUTE}""",
+    "W6 J5",
+    with_views(MINUTE)
+    + f"SELECT hash, height, time FROM minute WHERE height BETWEEN {FIRST_MINUTE} AND"
+    f" {LAST_MINUTE}",
 )
-def full_range_to_repair(spark, sf):
+def blocks_of_full_range(spark, sf):
+    """Everything in the range is taken in again, present or not."""
     blocks = minute_blocks(spark, sf)
     whole = heights.repair_ranges(blocks, FIRST_MINUTE, LAST_MINUTE, backfill_present=True)
-    taken = heights.blocks_in_ranges(blocks, whole)
-    return whole.join(F.broadcast(taken.agg(F.count("*").alias("blocks"))))
+    return heights.blocks_in_ranges(blocks, whole).select("hash", "height", "time")
 
 
 @query(

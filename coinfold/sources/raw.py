@@ -84,13 +84,12 @@ def clamped_range(start: int | None, end: int | None, head: int) -> tuple[int, i
 
 
 def tail(df: DataFrame, blocks: int, column: str = "height") -> DataFrame:
-    """Blocks of the last ``blocks`` heights up to the highest one."""
-    count = max(1, blocks)
-    head = df.agg(F.max(column).alias("_head"))
-    # One row: the aggregate is broadcast at a size that does not depend on the data.
-    return (
-        df.join(F.broadcast(head), F.col(column) > F.col("_head") - F.lit(count)).drop("_head")
-    )
+    """Blocks of the last ``blocks`` heights up to the highest one. The highest height is
+    asked for first, so that the filter is a constant the scan can use."""
+    head = df.agg(F.max(column)).first()[0]
+    if head is None:
+        return df
+    return df.where(F.col(column) > max(-1, head - max(1, blocks)))
 
 
 def with_height_bucket(
@@ -117,10 +116,11 @@ def _with_corrupt() -> T.StructType:
 def _quoted(text: str) -> str:
     """SQL that turns fractional number tokens into text tokens, except for the fields that
     are doubles."""
-    doubles = "".join(f'(?<!"{name})' for name in ("vsize", "discountvsize", "difficulty"))
+    doubles = "".join(f'(?<!"{name}":)' for name in ("vsize", "discountvsize", "difficulty"))
     number = r"-?[0-9]+(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)"
-    pattern = doubles + r'(?<!\\)(":\s*)(' + number + r")(?=\s*[,}\]])"
-    return f"""regexp_replace({text}, r'{pattern}', '$1"$2"')"""
+    # Starts with plain characters and looks back only in front of a number.
+    pattern = r'":(?=\s*-?[0-9])(?<!\\":)' + doubles + r"(\s*)(" + number + r")(?=\s*[,}\]])"
+    return f"""regexp_replace({text}, r'{pattern}', '":$1"$2"')"""
 
 
 def _shape(value: str, dtype: T.StructType) -> str:

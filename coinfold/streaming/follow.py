@@ -75,7 +75,7 @@ def run_follow(
 def process_batch(batch: DataFrame, number: int, follow: Follow, first: int) -> None:
     """One micro-batch: quarantine, lag, enrichment, then the sinks."""
     spark = batch.sparkSession
-    landed = f"{follow.state}/landed/batch={number}"
+    landed = f"{follow.state}/landed/slot={_slot(number)}"
     batch.select(*RAW_BLOCK.names, CORRUPT).write.mode("overwrite").parquet(landed)
     landed_blocks = spark.read.schema(_raw_with_corrupt()).parquet(landed)
     _quarantine(landed_blocks, number, follow)
@@ -115,6 +115,12 @@ def catch_up(blocks: DataFrame, head: int, lag: int = 0) -> DataFrame:
     )
 
 
+def _slot(number: int) -> int:
+    """Two folders take turns: a micro-batch reads what the one before it left and only
+    ever overwrites what is older."""
+    return number % 2
+
+
 def _error():
     incomplete = F.col("hash").isNull() | F.col("height").isNull()
     return F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(
@@ -141,9 +147,9 @@ def _due(spark: SparkSession, usable: DataFrame, number: int, follow: Follow) ->
     lag = max(0, follow.lag)
     if lag == 0:
         return usable
-    waiting = _read(spark, f"{follow.state}/waiting/batch={number - 1}", RAW_BLOCK)
+    waiting = _read(spark, f"{follow.state}/waiting/slot={_slot(number - 1)}", RAW_BLOCK)
     seen = _read(
-        spark, f"{follow.state}/head/batch={number - 1}",
+        spark, f"{follow.state}/head/slot={_slot(number - 1)}",
         T.StructType([T.StructField("head", T.LongType())]),
     )
     together = usable.unionByName(waiting)
@@ -151,10 +157,10 @@ def _due(spark: SparkSession, usable: DataFrame, number: int, follow: Follow) ->
     head = heads.agg(F.max("head").alias("head")).first()[0]
     spark.range(1).select(F.lit(head).cast("bigint").alias("head")).write.mode(
         "overwrite"
-    ).parquet(f"{follow.state}/head/batch={number}")
+    ).parquet(f"{follow.state}/head/slot={_slot(number)}")
     limit = F.lit(head) - F.lit(lag)
     together.where(F.col("height") > limit).write.mode("overwrite").parquet(
-        f"{follow.state}/waiting/batch={number}"
+        f"{follow.state}/waiting/slot={_slot(number)}"
     )
     return together.where(F.col("height") <= limit)
 

@@ -87,6 +87,11 @@ def process_batch(batch: DataFrame, number: int, follow: Follow, first: int) ->
     transactions = with_item_id(transaction_items(due))
     if follow.enrich:
         transactions = _enriched(transactions, follow)
+    # Every sink reads the items, and enrichment reads the tables the sinks are about to
+    # change: computed once and kept.
+    kept = f"{follow.state}/items/slot={_slot(number)}"
+    transactions.write.mode("overwrite").parquet(kept)
+    transactions = spark.read.schema(transactions.schema).parquet(kept)
     if follow.ledger is not None:
         follow.ledger.write(item_rows(blocks, transactions), batch_id=str(number))
     if follow.topics is not None:

@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Column expressions here are large; noting the call site of each part only costs time.
+_BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _local_base: dict[str, str] = {}
 
 
@@ -25,7 +28,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(conf or {})}.items():
+    for key, value in {**SETTINGS, **_BUILD_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -63,7 +63,7 @@ def filter_as_column(spark, sf):
 
 @query(
     "Q2",
-    _SEEN + _PICK + "l_quantity = 7 OR asset = 'a3' OR payload = '00000010' OR"
+    _SEEN + _PICK + "l_quantity = 7 OR asset = 'a3' OR TRY_CAST(payload AS DOUBLE) = 10 OR"
     f" (value IS NOT NULL AND {_NUM} <> 0 AND height = 12)",
 )
 def filter_equality(spark, sf):

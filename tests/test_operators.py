@@ -98,6 +98,7 @@ def test_numbers_reach_the_scan(spark, tmp_path):
     spark.range(10).withColumn("s", F.lit("a")).write.parquet(path)
     df = spark.read.parquet(path)
     p = {"and": [leaf("id", "ge", 3), {"not": leaf("id", "gt", 7)}, leaf("s", "eq", "a")]}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     plan = predicates.where(df, p)._jdf.queryExecution().executedPlan().toString()
     pushed = re.search(r"PushedFilters: \[(.*?)\]", plan).group(1)
     assert "GreaterThanOrEqual(id,3)" in pushed and "EqualTo(s,a)" in pushed

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,13 +44,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    A local session without that setting falls back to a temporary folder; a cluster
-    session without it is an error, because executors would not see the same files.
+    A session in one process (tests, a trial) without that setting uses a temporary folder;
+    any other session without it is an error, as its executors would not see the same files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*(,\s*\d+)?\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         app = context.applicationId
         if app not in _local_base:

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from coinfold.llm.common import staged
+from coinfold.llm.mixing import mixed
+from coinfold.llm.packing import pack
+from coinfold.llm.secrets import redacted
 from coinfold.llm.simhash import one_of_each_group
 from coinfold.llm.toxicity import without_toxic
 
@@ -23,9 +26,27 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return one_of_each_group(docs)
 
 
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts by their kind in brackets, and n_chars follows; every document stays."""
+    return redacted(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: not at all, once or twice."""
+    return mixed(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents, with their place in sequences of at most 2048 tokens."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", toxicity_stage),
     ("simhash near-dedup", simhash_stage),
+    ("secret scans", secrets_stage),
+    ("mixing sources", mixing_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 #: Fingerprints, a trained model and a tokenizer are beyond SQL; tests hold the stages against brute force.

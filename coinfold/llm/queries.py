@@ -10,7 +10,9 @@ from coinfold.llm.mixing import MIX_SQL, mix
 from coinfold.llm.packing import pack
 from coinfold.llm.secrets import secret_report
 from coinfold.llm.simhash import simhash_groups
+from coinfold.llm.topk import top_products
 from coinfold.llm.toxicity import toxicity
+from coinfold.llm.vectors import near_vectors
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -55,3 +57,13 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"))

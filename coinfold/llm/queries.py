@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from coinfold.llm.mixing import MIX_SQL, mix
 from coinfold.llm.packing import pack
 from coinfold.llm.secrets import secret_report
+from coinfold.llm.sharding import SHARDS_SQL, assign_shards
 from coinfold.llm.simhash import simhash_groups
 from coinfold.llm.topk import top_products
 from coinfold.llm.toxicity import toxicity
+from coinfold.llm.url_rules import judge_sql, judge_urls
 from coinfold.llm.vectors import near_vectors
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +69,13 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"))
+
+
+@query(judge_sql())
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query(SHARDS_SQL)
+def op5_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))

@@ -15,6 +15,7 @@ from coinfold.llm.topk import top_products
 from coinfold.llm.toxicity import toxicity
 from coinfold.llm.url_rules import judge_sql, judge_urls
 from coinfold.llm.vectors import near_vectors
+from coinfold.llm.warc import ARCHIVE_SQL, archived
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -79,3 +80,8 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SHARDS_SQL)
 def op5_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query(ARCHIVE_SQL)
+def op8_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -31,13 +32,25 @@ def build_session(
         builder = builder.master(master)
     for key, value in {**SETTINGS, **_BUILD_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return _with_package(builder.getOrCreate())
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Put the settings on a session somebody else built."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    return _with_package(spark)
+
+
+def _with_package(spark: SparkSession) -> SparkSession:
+    """Where Python workers run beside the driver they find this package wherever the driver was started.
+
+    On a cluster the package is installed or sent along with the application.
+    """
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment
+    if here not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [here, paths.get("PYTHONPATH")]))
     return spark
 
 

@@ -143,8 +143,8 @@ def _chosen(found: Passages, model: Model | None) -> list[list[int]]:
         elif model is None:
             out.append([int(low) + k * n // SAMPLE_PASSAGES for k in range(SAMPLE_PASSAGES)] if n > SAMPLE_PASSAGES else list(range(low, high)))
         else:
-            best = int(low + np.argmax(values[low:high]))
-            out.append([best, int(low) + best * 7919 % n])
+            best = int(np.argmax(values[low:high]))
+            out.append([int(low) + best, int(low) + best * 7919 % n])
     return out
 
 
@@ -204,23 +204,23 @@ class _Trainer:
         mean = np.add.reduceat(vectors[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
         sizes_padded = sizes + PADDING
         mean /= sizes_padded[:, None]
-        logits = mean @ softmax + bias
+        logits = np.einsum("nd,dk->nk", mean, softmax) + bias  # not BLAS, whose sums may vary with memory layout
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         error = odds / odds.sum(axis=1, keepdims=True)
         error[np.arange(len(lists)), toxic] -= 1
         error /= len(lists)
-        back = np.repeat((error @ softmax.T) / sizes_padded[:, None], sizes, axis=0)
+        back = np.repeat(np.einsum("nk,dk->nd", error, softmax) / sizes_padded[:, None], sizes, axis=0)
         down = np.stack([np.bincount(flat, back[:, d], minlength=1 << self.bits) for d in range(DIM)], axis=1)
         self.steps += 1
         rate = RATE * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-        for x, m, s, slope in zip(self.held, self.first, self.second, (down, mean.T @ error, error.sum(axis=0)), strict=True):
+        for x, m, s, slope in zip(self.held, self.first, self.second, (down, np.einsum("nd,nk->dk", mean, error), error.sum(axis=0)), strict=True):
             m += 0.1 * (slope.astype(np.float32) - m)
             s += 0.001 * (slope.astype(np.float32) ** 2 - s)
             x -= np.float32(rate) * m / (np.sqrt(s) + np.float32(1e-8))
 
     def model(self) -> Model:
         vectors, softmax, bias = (x.astype(np.float64) for x in self.held)
-        return Model(vectors @ (softmax[:, 1] - softmax[:, 0]), float(bias[1] - bias[0]), self.bits)
+        return Model((vectors * (softmax[:, 1] - softmax[:, 0])).sum(axis=1), float(bias[1] - bias[0]), self.bits)
 
 
 def _ordered(bags: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:

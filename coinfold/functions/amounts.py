@@ -49,6 +49,34 @@ def exact_decimal(value: Column) -> Column:
     return F.when(short | held, text.try_cast(EXACT))
 
 
+_MAGNITUDE = 10_000_000_000
+_COMPLEMENT = ("0123456789", "9876543210")
+
+
+def sort_key(value: Column) -> Column:
+    """Text that orders like the number a text stands for, however large or fine it is; equal
+    numbers have equal keys. Null for anything that is no finite number.
+
+    A sign, the power of ten of the first digit that is not zero, and the digits from there on
+    without closing zeros; for negative numbers the digits' complements, which turn the order.
+    """
+    text = _text(value)
+    whole = F.regexp_extract(text, r"^[+-]?([0-9]*)", 1)
+    digits = F.concat(whole, F.regexp_extract(text, _FRACTION, 1))
+    first = F.regexp_replace(digits, "^0+", "")
+    power = F.length(whole) - (F.length(digits) - F.length(first)) + _exponent(text)
+    key = F.concat(
+        F.lpad((power.cast("bigint") + _MAGNITUDE).cast("string"), 11, "0"),
+        F.regexp_replace(first, "0+$", ""),
+    )
+    # behind a shorter number comes a longer one, and before it among negative ones
+    turned = F.concat(F.lit("0"), F.translate(key, *_COMPLEMENT), F.lit("~"))
+    signed = F.when(first == "", F.lit("1")).when(text.startswith("-"), turned).otherwise(
+        F.concat(F.lit("2"), key)
+    )
+    return F.when(text.rlike(_NUMBER), signed)
+
+
 def to_base_units(value: Column) -> Column:
     """Whole-coin amount as integer base units.
 
@@ -69,10 +97,14 @@ def decimal_text(value: Column, digits: Column) -> Column:
 
 
 def exact_sum(values: Column) -> Column:
-    """Sum of an array of exact decimals, nulls counting zero."""
+    """Sum of an array of exact decimals, nulls counting zero. A sum beyond
+    ``decimal(38,18)`` fails the job."""
     zero = F.lit(0).cast(EXACT)
+    too_large = F.raise_error(F.lit("a sum of amounts is beyond decimal(38,18)")).cast(EXACT)
     return F.aggregate(
         values,
         zero,
-        lambda total, x: F.try_add(total, F.coalesce(x, zero)).try_cast(EXACT),
+        lambda total, x: F.coalesce(
+            F.try_add(total, F.coalesce(x, zero)).try_cast(EXACT), too_large
+        ),
     )

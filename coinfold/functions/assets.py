@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from coinfold.functions.amounts import to_base_units
 
-_ENTRY = "struct<key:string,value:bigint>"
+_ENTRY = "struct<key:string,value:decimal(38,0)>"
 _STATE = f"struct<done:array<{_ENTRY}>,last:{_ENTRY}>"
 
 
@@ -19,7 +19,8 @@ def sum_by_asset(entries: Column) -> Column:
     """Array of ``struct(asset, units)`` to ``map<asset, sum>``; null when nothing is left.
 
     Entries without asset or amount are skipped. The array is sorted once and folded, so
-    the cost does not grow with assets times entries.
+    the cost does not grow with assets times entries. Sums are kept wide; one that a bigint
+    cannot hold fails the job rather than to go missing.
     """
     usable = F.array_sort(
         F.filter(entries, lambda e: e["asset"].isNotNull() & e["units"].isNotNull())
@@ -30,13 +31,20 @@ def sum_by_asset(entries: Column) -> Column:
 
     def add(state: Column, e: Column) -> Column:
         same = state["last"]["key"] == e["asset"]
-        units = F.when(same, F.try_add(state["last"]["value"], e["units"])).otherwise(e["units"])
+        own = e["units"].cast("decimal(38,0)")
+        units = F.when(same, F.try_add(state["last"]["value"], own)).otherwise(own)
         done = F.when(same | state["last"].isNull(), state["done"]).otherwise(_append(state))
         last = F.struct(e["asset"].alias("key"), units.alias("value"))
         return F.struct(done.alias("done"), last.alias("last")).cast(_STATE)
 
     folded = F.aggregate(usable, start, add, lambda state: _append(state))
-    return F.when(F.size(usable) > 0, F.map_from_entries(folded))
+    sums = F.transform_values(F.map_from_entries(folded), lambda _, total: _bigint(total))
+    return F.when(F.size(usable) > 0, sums)
+
+
+def _bigint(total: Column) -> Column:
+    too_large = F.raise_error(F.lit("a sum of an asset is beyond bigint")).cast("bigint")
+    return F.coalesce(total.try_cast("bigint"), too_large)
 
 
 def asset_entries(items: Column, asset, value) -> Column:

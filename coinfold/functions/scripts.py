@@ -13,13 +13,18 @@ PUSH_NAMES = {76: "OP_PUSHDATA1", 77: "OP_PUSHDATA2", 78: "OP_PUSHDATA4"}
 OP_1, OP_16 = 0x51, 0x60
 OP_RETURN = 0x6A
 
-_HEX_BYTES = r"^(?:[0-9a-f]{2}\s*)*$"
+_NO_HEX = r"[^0-9a-f\s]"
 
 
 def _bare_hex(script: Column) -> Column:
-    """Lower-case digits without prefix; null when the text is not whole bytes."""
+    """Lower-case digits without prefix; null when the text is not whole bytes.
+
+    Blanks may stand between bytes. Each test is one pass without a repeated group, whose
+    matching would take a stack frame per byte.
+    """
     text = F.regexp_replace(F.lower(F.trim(script)), "^0x", "")
-    return F.when(text.rlike(_HEX_BYTES), F.regexp_replace(text, r"\s", ""))
+    whole = F.forall(F.split(text, r"\s+"), lambda run: F.length(run) % 2 == 0)
+    return F.when(~text.rlike(_NO_HEX) & whole, F.regexp_replace(text, r"\s", ""))
 
 
 def _byte(hex_text: Column, index: Column) -> Column:
@@ -72,14 +77,14 @@ def disassemble(script: Column) -> Column:
     """Readable operations of a script; null for missing, malformed or truncated scripts.
 
     A fold over the bytes: every step reads the operation at the current position and
-    moves behind it. The scripts that need it are short, and rows that do not need it
-    never evaluate it.
+    moves behind it; steps behind the end do nothing. The words are listed and joined once,
+    so a long script's text is not copied at each operation.
     """
-    state_type = "struct<at:int,text:string>"
+    state_type = "struct<at:int,words:array<string>>"
 
     def read(state: Column, behind: Column, *token: Column) -> Column:
-        text = F.concat_ws(" ", state["text"], *token)
-        return F.struct(behind.cast("int").alias("at"), text.alias("text")).cast(state_type)
+        words = F.concat(state["words"], F.array(*token))
+        return F.struct(behind.cast("int").alias("at"), words.alias("words")).cast(state_type)
 
     def operation(hx: Column, size: Column, state: Column, op: Column) -> Column:
         after = state["at"] + 1
@@ -115,12 +120,12 @@ def disassemble(script: Column) -> Column:
         return F.when(at >= size, state).when(at < size, following)
 
     def scan(hx: Column, size: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("string").alias("text"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("words"))
         text = F.aggregate(
             F.sequence(F.lit(1), size),
             start.cast(state_type),
             lambda state, _: step(hx, size, state),
-            lambda state: state["text"],
+            lambda state: F.when(state.isNotNull(), F.array_join(state["words"], " ")),
         )
         return F.when(size == 0, F.lit("")).when(size > 0, text)
 

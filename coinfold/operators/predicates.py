@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinfold.functions.amounts import EXACT, exact_decimal
+from coinfold.functions.amounts import EXACT, exact_decimal, sort_key
 
 # Names of the operators and texts that count as true.
 COMPARISONS = ("lt", "le", "gt", "ge")
@@ -67,11 +67,18 @@ def filter_lines(lines: DataFrame, predicate, column: str = "value") -> DataFram
     return parsed.where(node).drop("_document")
 
 
+# Quotes are doubled inside quoted fields, which may hold line breaks; blanks are kept.
+_CSV = {
+    "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def filter_csv(spark: SparkSession, source: str, target: str, predicate) -> None:
     """Filter CSV with a header. All values are text, an empty field is the empty text."""
-    rows = spark.read.option("header", True).csv(source).fillna("")
+    rows = spark.read.options(**_CSV, multiLine="true").csv(source).fillna("")
     kept = where(rows, predicate)
-    kept.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
+    kept.write.mode("overwrite").options(**_CSV, emptyValue="").csv(target)
 
 
 # ---- structure ---------------------------------------------------------------------------
@@ -254,10 +261,8 @@ def _equal(value: Value, literal: Any) -> Column:
         return _text(value) == _literal_text(literal)
     if isinstance(value.dtype, _NUMERIC):
         return value.column == number
-    exact = _number(value)
-    return F.when(exact.isNotNull(), exact == number).otherwise(
-        _text(value) == _literal_text(literal)
-    )
+    by_text = _text(value) == _literal_text(literal)
+    return _by_number(value, literal, number, lambda a, b: a == b, by_text)
 
 
 def _compare(value: Value, op: str, literal: Any) -> Column:
@@ -267,8 +272,22 @@ def _compare(value: Value, op: str, literal: Any) -> Column:
         return by_text
     if isinstance(value.dtype, _NUMERIC):
         return _ordered(value.column, op, number)
+    return _by_number(value, literal, number, lambda a, b: _ordered(a, op, b), by_text)
+
+
+def _by_number(value: Value, literal: Any, number: Column, test, by_text: Column) -> Column:
+    """``test`` on the numbers: as exact decimals where both fit, else by their sort keys."""
     exact = _number(value)
-    return F.when(exact.isNotNull(), _ordered(exact, op, number)).otherwise(by_text)
+    if exact is None:
+        return by_text
+    text = _number_text(value)
+    in_range = exact.isNotNull() & number.isNotNull()
+    far = F.when(F.length(text) > 0, sort_key(text))
+    return (
+        F.when(in_range, test(exact, number))
+        .when(far.isNotNull(), test(far, sort_key(F.lit(str(literal)))))
+        .otherwise(by_text)
+    )
 
 
 def _ordered(left: Column, op: str, right: Column) -> Column:
@@ -291,12 +310,16 @@ def _text(value: Value) -> Column:
     return column.cast("string")
 
 
-def _number(value: Value) -> Column:
+def _number(value: Value) -> Column | None:
     if isinstance(value.dtype, (T.BooleanType, T.StructType, T.ArrayType, T.MapType)):
-        return F.lit(None).cast(EXACT)
+        return None
+    return exact_decimal(_number_text(value))
+
+
+def _number_text(value: Value) -> Column:
     if isinstance(value.dtype, T.VariantType):
-        return exact_decimal(F.try_variant_get(value.column, "$", "string"))
-    return exact_decimal(value.column)
+        return F.try_variant_get(value.column, "$", "string")
+    return value.column.cast("string")
 
 
 def _literal_text(literal: Any) -> str:

@@ -116,11 +116,13 @@ def _with_corrupt() -> T.StructType:
 def _quoted(text: str) -> str:
     """SQL that turns fractional number tokens into text tokens, except for the fields that
     are doubles."""
-    doubles = "".join(f'(?<!"{name}":)' for name in ("vsize", "discountvsize", "difficulty"))
+    doubles = "".join(f'(?<!"{name}")' for name in ("vsize", "discountvsize", "difficulty"))
     number = r"-?[0-9]+(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)"
+    # A quote behind an odd number of backslashes is part of a text and ends no name.
+    escaped = r'(?<!(?<!\\)(?:\\\\){0,99}\\")'
     # Starts with plain characters and looks back only in front of a number.
-    pattern = r'":(?=\s*-?[0-9])(?<!\\":)' + doubles + r"(\s*)(" + number + r")(?=\s*[,}\]])"
-    return f"""regexp_replace({text}, r'{pattern}', '":$1"$2"')"""
+    pattern = r'"(?=\s*:\s*-?[0-9])' + escaped + doubles + r"(\s*:\s*)(" + number + r")(?=\s*[,}\]])"
+    return f"""regexp_replace({text}, r'{pattern}', '"$1"$2"')"""
 
 
 def _shape(value: str, dtype: T.StructType) -> str:

@@ -1,9 +1,10 @@
 """Keyed tables on parquet: insert or update by key, write the four tables together.
 
-Layout: ``<base>/<table>/height_bucket=N/``. A batch rewrites the buckets it touches and no
-others. The new content is written to a staging folder first and only then put in place, so
-no plan reads and overwrites the same files, and a batch that broke off can simply be run
-again: the result depends on the table, the batch and its keys only.
+Layout: ``<base>/<table>/height_bucket=N/``. A batch of new keys is appended and rewrites no
+file. A batch with known keys rewrites the buckets it touches and no others: the new content is
+written to a staging folder first and only then put in place, so no plan reads and overwrites
+the same files. A batch that broke off is run again: the result depends on the table, the batch
+and its keys only.
 """
 
 from __future__ import annotations
@@ -104,12 +105,17 @@ def write_keyed(
     batch_dir = shared_dir(spark, "batch")
     single.select(*stored.names).write.mode("overwrite").parquet(batch_dir)
     batch = spark.read.schema(stored).parquet(batch_dir)
+    # Known keys first: what they are joined with then has the size of the batch, not the table.
+    held = target.select(*keys, BUCKET).join(batch.select(*keys), list(keys), "left_semi")
     if strategy == "ignore":
-        _put(batch.join(target.select(*keys), list(keys), "left_anti"), path, "append")
+        _put(batch.join(held.select(*keys), list(keys), "left_anti"), path, "append")
         return
-    held = target.select(*keys, BUCKET).join(batch.select(*keys), list(keys), "left_semi")
     # One value per touched bucket: bounded by the number of buckets, not by rows.
-    given, left = _buckets(batch), _buckets(held)
+    left = _buckets(held)
+    if not left:
+        _put(batch, path, "append")
+        return
+    given = _buckets(batch)
     if given:
         touched = sorted(given | left)
         merged = upsert_plan(target.where(F.col(BUCKET).isin(touched)), batch, keys)
@@ -174,6 +180,9 @@ _HEIGHTS = {
 }
 
 
+CHILDREN_FIRST = ("txins", "txouts", "transactions", "blocks")
+
+
 class Ledger:
     """The four keyed tables below one folder."""
 
@@ -196,9 +205,10 @@ class Ledger:
         return {name: self.table(name) for name in TABLES}
 
     def write(self, rows: dict[str, DataFrame], batch_id: str | None = None) -> None:
-        """Write the given tables. With a ``batch_id`` a commit record follows, last: a
-        batch without record broke off and has to be run again."""
-        for name in TABLES:
+        """Write the given tables, children before parents and blocks last: a height that has
+        its block has all that belongs to it, so whoever goes on from the stored heights
+        takes a batch that broke off again. With a ``batch_id`` a commit record follows."""
+        for name in CHILDREN_FIRST:
             if name in rows:
                 write_keyed(
                     self.spark, self.path(name), TABLES[name], rows[name], TABLE_KEYS[name],
@@ -220,7 +230,7 @@ class Ledger:
     def replace(self, tables: dict[str, DataFrame], buckets: set[int]) -> None:
         """Replace buckets of every table, children first so that a break leaves no row
         without its parent."""
-        for name in ("txins", "txouts", "transactions", "blocks"):
+        for name in CHILDREN_FIRST:
             if _exists(self.spark, self.path(name)):
                 replace_buckets(self.spark, self.path(name), tables[name], buckets)
 

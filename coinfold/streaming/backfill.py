@@ -45,7 +45,8 @@ def run(
         if head is not None:
             outcome.backfilled = backfill_range(follow.ledger, start, head)
         if outcome.backfilled is not None:
-            ingest_raw(raw, follow.ledger, network, *outcome.backfilled, batch_id="backfill")
+            batch_id = "backfill-{}-{}".format(*outcome.backfilled)
+            ingest_raw(raw, follow.ledger, network, *outcome.backfilled, batch_id=batch_id)
     if mode != "backfill":
         outcome.query = run_follow(raw_block_stream(spark, landing), follow, interval)
     return outcome

@@ -6,6 +6,7 @@ row keys, so a second run replaces the first.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -45,12 +46,24 @@ class Follow:
 
 
 def start_height(follow: Follow) -> int:
-    """Given start, otherwise behind the stored blocks. Topics keep no height to ask for."""
+    """The first height the stream takes: as given, otherwise behind the stored blocks. Topics
+    keep no height to ask for.
+
+    A stream without given start keeps the height it began with in its state. A restart takes
+    that one, not what is stored by then: files land in any order, and which were taken the
+    checkpoint knows.
+    """
     if follow.start is not None:
         return follow.start
     if follow.ledger is None:
         raise ValueError("a stream into topics needs a start height")
-    return resume_height(follow.ledger.table("blocks"))
+    spark, path = follow.ledger.spark, f"{follow.state}/first"
+    kept = _read(spark, path, T.StructType([T.StructField("first", T.LongType())])).first()
+    if kept is not None:
+        return kept[0]
+    first = resume_height(follow.ledger.table("blocks"))
+    spark.range(1).select(F.lit(first).cast("bigint").alias("first")).write.parquet(path)
+    return first
 
 
 def run_follow(
@@ -93,7 +106,7 @@ def process_batch(batch: DataFrame, number: int, follow: Follow, first: int) ->
     transactions.write.mode("overwrite").parquet(kept)
     transactions = spark.read.schema(transactions.schema).parquet(kept)
     if follow.ledger is not None:
-        follow.ledger.write(item_rows(blocks, transactions), batch_id=str(number))
+        follow.ledger.write(item_rows(blocks, transactions), batch_id=f"{_stream_id(follow)}-{number}")
     if follow.topics is not None:
         write_topics(blocks, transactions, follow.topics, number)
 
@@ -120,6 +133,11 @@ def catch_up(blocks: DataFrame, head: int, lag: int = 0) -> DataFrame:
     )
 
 
+def _stream_id(follow: Follow) -> str:
+    """Tells the commits of streams over the same tables apart, and is the same after a restart."""
+    return f"stream-{zlib.crc32(follow.state.rstrip('/').encode()):08x}"
+
+
 def _slot(number: int) -> int:
     """Two folders take turns: a micro-batch reads what the one before it left and only
     ever overwrites what is older."""
@@ -171,10 +189,19 @@ def _due(spark: SparkSession, usable: DataFrame, number: int, follow: Follow) ->
 
 
 def _enriched(transactions: DataFrame, follow: Follow) -> DataFrame:
-    """Look spent outputs up in the stored ones and in the micro-batch itself."""
-    outputs = outpoints(transactions)
-    counts = output_counts(transactions)
+    """Look spent outputs up in the stored ones and in the micro-batch itself.
+
+    Of the stored rows only those that the micro-batch spends are joined further. Their keys are
+    unique already.
+    """
+    outputs = outpoints(transactions).dropDuplicates(["txid", "vout"])
+    counts = output_counts(transactions).groupBy("txid").agg(F.max("vout_count").alias("vout_count"))
     if follow.ledger is not None:
+        spent = transactions.select(F.explode("inputs").alias("i")).select(
+            F.col("i.txid").alias("txid"),
+            F.col("i.vout").cast("bigint").alias("vout"),
+        )
+        wanted = spent.where("txid is not null").distinct()
         stored = follow.ledger.table("txouts").select(
             "txid",
             F.col("vout").cast("bigint").alias("vout"),
@@ -187,15 +214,13 @@ def _enriched(transactions: DataFrame, follow: Follow) -> DataFrame:
             .alias("value"),
             F.col("asset_id").alias("asset"),
         )
+        stored = stored.join(wanted, ["txid", "vout"], "left_semi")
         new = outputs.select("txid", "vout")
         outputs = outputs.unionByName(stored.join(new, ["txid", "vout"], "left_anti"))
         known = follow.ledger.table("transactions").select("txid", "vout_count")
+        known = known.join(wanted.select("txid"), "txid", "left_semi")
         counts = counts.unionByName(known.join(counts.select("txid"), "txid", "left_anti"))
-    return enrich_transactions(
-        transactions,
-        outputs.dropDuplicates(["txid", "vout"]),
-        counts.groupBy("txid").agg(F.max("vout_count").alias("vout_count")),
-    )
+    return enrich_transactions(transactions, outputs, counts)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from decimal import Decimal, InvalidOperation
 
+import pytest
 from pyspark.sql import functions as F
 
 from coinfold.functions.amounts import decimal_text, exact_decimal, fraction_digits, to_base_units
@@ -97,3 +98,28 @@ def test_fee_map_drops_what_is_no_amount(spark):
         "m map<string,string>",
     )
     assert df.select(fee_units(F.col("m"))).first()[0] == {"a": 1, "d": 200_000_000}
+
+
+@pytest.mark.parametrize("size", [600, 10_000, 100_000])
+def test_long_scripts(spark, tmp_path, size):
+    """Read inside tasks, from a file, as scripts come."""
+    from coinfold.functions.scripts import disassemble, op_return_payload
+
+    data = "c5" * size
+    script = "6a4e" + size.to_bytes(4, "little").hex() + data
+    path = str(tmp_path / "scripts")
+    spark.createDataFrame([(script,), (script[:-1],), (" ".join([script[:8], script[8:]]),)], "s string").write.parquet(path)
+    read = spark.read.parquet(path)
+    got = [tuple(r) for r in read.select(op_return_payload(F.col("s")), disassemble(F.col("s"))).collect()]
+    whole = (data, f"OP_RETURN OP_PUSHDATA4 {data.upper()}")
+    assert sorted(got, key=str) == sorted([whole, whole, (None, None)], key=str)
+
+
+def test_sums_of_assets_never_vanish(spark):
+    from coinfold.functions.assets import sum_by_asset
+
+    most = 2**63 - 1
+    entries = lambda *v: spark.createDataFrame([([("a", x) for x in v],)], "e array<struct<asset:string,units:bigint>>")
+    assert entries(most, 5, -5).select(sum_by_asset(F.col("e"))).first()[0] == {"a": most}
+    with pytest.raises(Exception, match="beyond bigint"):
+        entries(most, 5).select(sum_by_asset(F.col("e"))).collect()

@@ -194,3 +194,55 @@ def test_layouts_of_earlier_versions(spark):
     assert layout_changes({"blocks": ["number"], "blocks_v2": ["height"]}) == [
         ("blocks", "blocks_legacy"), ("blocks_v2", "blocks")]
     assert migrate_catalog(spark) == []
+
+
+@pytest.mark.parametrize("done", [0, 1, 2, 3])
+def test_a_broken_batch_is_taken_again(spark, tmp_path, monkeypatch, done):
+    """Broken off after each of the tables and started anew, nothing is missing."""
+    from coinfold.sources import tables as module
+
+    landing = land_file(tmp_path / "landing", "1.json", *[chain_block(h) for h in range(5)])
+    whole = Ledger(spark, str(tmp_path / "whole"))
+    backfill(landing, Follow(str(tmp_path / "s1"), whole), "backfill")
+    ledger, written = Ledger(spark, str(tmp_path / "broken")), []
+    write = module.write_keyed
+
+    def breaking(*args, **more):
+        if len(written) == done:
+            raise RuntimeError("lost")
+        written.append(args[1])
+        write(*args, **more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "write_keyed", breaking)
+        with pytest.raises(RuntimeError, match="lost"):
+            backfill(landing, Follow(str(tmp_path / "s2"), ledger), "backfill")
+    assert ledger.committed().count() == 0
+    backfill(landing, Follow(str(tmp_path / "s2"), ledger), "backfill")
+    for name in whole.tables():
+        rows = lambda x: sorted(map(str, x.table(name).collect()))  # noqa: B023, E731
+        assert rows(ledger) == rows(whole) and rows(whole)
+
+
+def test_files_that_land_late_are_taken(spark, tmp_path):
+    landing = tmp_path / "landing"
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    follow = Follow(str(tmp_path / "state"), ledger)
+    for name, heights in (("a.json", range(10, 13)), ("b.json", range(4)), ("c.json", [20, 7])):
+        land_file(landing, name, *[chain_block(h) for h in heights])
+        run_follow(raw_block_stream(spark, str(landing)), follow).awaitTermination()
+    assert sorted(r.height for r in ledger.table("blocks").collect()) == [0, 1, 2, 3, 7, 10, 11, 12, 20]
+    assert ledger.table("transactions").count() == 9
+
+
+def test_new_keys_rewrite_no_file(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "ledger").rglob("part-*")}
+    seen = {}
+    for first in (0, 3, 6):
+        landing = land_file(tmp_path / f"landing{first}", "1.json", *[chain_block(h) for h in range(first, first + 3)])
+        ingest_raw(read_raw_blocks(spark, landing), ledger, "main", batch_id=str(first))
+        now = files()
+        assert seen.items() <= now.items() and len(now) > len(seen)
+        seen = now
+    assert ledger.table("blocks").count() == 9

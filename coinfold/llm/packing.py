@@ -17,7 +17,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,11 @@ from coinfold.llm.common import staged, text_bytes
 LIMIT = 2048
 TOKENIZER = "byte_bpe_50k.json"
 END = b"\0\0\0\0"
-#: Words whose ids a task remembers; the memory is emptied when full.
+#: So many words' ids a worker remembers twice over: the older half goes when the newer one is full.
 REMEMBERED = 200_000
+#: Marks that may end a word of letters; none is a letter, digit or blank.
+MARKS = ".,;:!?\"')]}-%&*#$"
+_SPLIT, _BLANKS = re.compile(r"(?<=\S) "), re.compile(r"\s ")
 
 # ---- tokens ------------------------------------------------------------------------------
 
@@ -61,37 +66,57 @@ class Encoder:
             name = public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(name)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.letters = dict(enumerate(_byte_letters()))
+        self.words, self.older_words, self.cores, self.older_cores, self.marks = ({} for _ in range(5))
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _merged(self, word: str) -> bytes:
+        """Ids of a text that the tokenizer would not cut."""
+        word = word if word.isascii() else word.encode().decode("latin-1")
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))]).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Ids of a blank and ``word``; the plain case, letters and then marks, goes to the merges directly."""
-        core = word.rstrip(".,;:!?\"')]}-%&*#$")
-        if not core or not core.isalpha() or max(core) >= "ɐ":
+        core = word.rstrip(MARKS)
+        if not core.isalpha() or max(core) >= "\u0250":
             return self.whole(" " + word)
-        merge, letters = self.tokenizer.model.tokenize, self.letters
-        ids = [t.id for t in merge("".join(map(letters.__getitem__, (" " + core).encode())))]
-        if len(core) < len(word):
-            ids += [t.id for t in merge("".join(map(letters.__getitem__, word[len(core) :].encode())))]
-        return np.array(ids, dtype="<u4").tobytes()
+        found = self.cores.get(core)
+        if found is None:
+            found = self.cores[core] = self.older_cores.get(core) or self._merged(" " + core)
+        if len(core) == len(word):
+            return found
+        mark = word[len(core) :]
+        if mark not in self.marks:
+            self.marks[mark] = self._merged(mark)
+        return found + self.marks[mark]
 
     def ids(self, text: str) -> bytes:
-        if any(token in text for token in self.added):
-            return self.whole(text)
-        parts = re.split(r"(?<=\S) ", text) if re.search(r"\s ", text) else text.split(" ")
-        words = self.words
+        for token in self.added:
+            if token in text:
+                return self.whole(text)
+        parts = _SPLIT.split(text) if _BLANKS.search(text) else text.split(" ")
+        words, older = self.words, self.older_words
         rest = parts[1:]
-        for new in {w for w in rest if w not in words}:
-            words[new] = self._word(new)
+        for new in set(rest).difference(words):
+            words[new] = older.get(new) or self._word(new)
         out = b"".join([self.whole(parts[0]) if parts[0] else b"", *map(words.__getitem__, rest)])
         if len(words) > REMEMBERED:
-            words.clear()
+            self.words, self.older_words = {}, words
+        if len(self.cores) > REMEMBERED:
+            self.cores, self.older_cores = {}, self.cores
+        if len(self.marks) > REMEMBERED:
+            self.marks = {}
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder_of(name: str) -> Encoder:
+    """One a worker process, so its tasks share what is remembered."""
+    return Encoder(name)
+
+
 def cut(tokens: int, limit: int = LIMIT) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole if it fits, else full ones after a first, shorter one."""
     if tokens <= limit:
@@ -106,7 +131,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, keep
     names = ["piece", "start", "length", "ids_crc32", "task", "nth", *["ids"] * keep_ids]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, task = Encoder(tokenizer), np.zeros(limit + 1, np.int64), TaskContext.get().partitionId()
+        encoder, seen, task = encoder_of(tokenizer), np.zeros(limit + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
             data, starts = text_bytes(batch.column(1))
             view, rows, made = memoryview(data), [], []

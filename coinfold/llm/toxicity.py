@@ -252,21 +252,26 @@ def train_on(bags_of, bits: int = BITS) -> Model:
     return trainer.model()
 
 
-def train(labelled: DataFrame, bits: int = BITS, each: int = SAMPLE_EACH) -> Model:
-    """A model from rows (doc_id, text, toxic); rows whose ``toxic`` is not 0 or 1 are left out.
+def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, each: int = SAMPLE_EACH) -> Model:
+    """A model from the documents (doc_id, text) that labels (doc_id, toxic) mark 0 or 1 and are not held out.
 
-    Without both labels in the sample, every text scores the share of toxic passages in it, or
-    0.5 if there is none.
+    The sample is picked by ids alone, at most ``each`` of either label, so it is small enough to be
+    sent to wherever the texts are, and no other text moves. Of labels that repeat an id the largest counts, of texts
+    that do the least. Without both labels in the sample, every text scores the share of toxic
+    passages in it, or 0.5 if there is none.
     """
-    order = F.xxhash64("doc_id", F.lit(9))
-    rows = labelled.where("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    # the ids are picked first, so the texts of the rest never move
-    picked = [
-        rows.where(F.col("toxic") == label).select("doc_id", order.alias("nth")).orderBy("nth", "doc_id").limit(each)
-        for label in (0, 1)
-    ]
-    ids = picked[0].unionByName(picked[1]).select("doc_id").distinct()
-    sample = rows.join(ids, "doc_id", "left_semi").select("toxic", F.col("text").cast("string").alias("text"))
+    marks = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = docs.where(~is_held_out()).select("doc_id").join(marks, "doc_id").distinct()
+    known = known.withColumn("nth", F.xxhash64("doc_id", F.lit(9)))
+    picked = [known.where(F.col("toxic") == label).orderBy("nth", "doc_id").limit(each) for label in (0, 1)]
+    ids = staged(picked[0].unionByName(picked[1]).select("doc_id", "toxic"), "toxicity-ids")
+    sample = (
+        docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        .join(F.broadcast(ids), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
+        .select("toxic", "text")
+    )
     sample = staged(sample, "toxicity-sample")
     shape = "toxic int, nth int, buckets array<int>"
     return train_on(lambda model: sample.mapInArrow(_training_bags(bits, model), shape).toArrow(), bits)
@@ -301,12 +306,6 @@ def is_held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of the labelled rows that may be learnt from; of labels that repeat an id, the largest."""
-    marks = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").where(~is_held_out()).join(marks, "doc_id")
-
-
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted: one row for every row of ``docs``.
 
@@ -315,7 +314,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     both kinds every text has one score. A null id is not held out and has no label. An empty
     table gives no rows. Other columns are ignored.
     """
-    model = train(labelled_texts(docs, labels))
+    model = train(docs, labels)
     return score(docs.select("doc_id", "text"), model).select(
         "doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
@@ -323,5 +322,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score below 0.5."""
-    model = train(labelled_texts(docs, labels))
+    model = train(docs, labels)
     return score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model).where("score < 0.5").select("row.*")

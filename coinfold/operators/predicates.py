@@ -280,14 +280,13 @@ def _by_number(value: Value, literal: Any, number: Column, test, by_text: Column
     exact = _number(value)
     if exact is None:
         return by_text
-    text = _number_text(value)
     in_range = exact.isNotNull() & number.isNotNull()
-    far = F.when(F.length(text) > 0, sort_key(text))
-    return (
-        F.when(in_range, test(exact, number))
-        .when(far.isNotNull(), test(far, sort_key(F.lit(str(literal)))))
-        .otherwise(by_text)
-    )
+    # Inside a lambda the long expression stays out of generated code, and in this branch it is
+    # only reached by what is no exact decimal.
+    far = F.transform(
+        F.array(_number_text(value)), lambda text: test(sort_key(text), sort_key(F.lit(str(literal))))
+    )[0]
+    return F.when(in_range, test(exact, number)).otherwise(F.coalesce(far, by_text))
 
 
 def _ordered(left: Column, op: str, right: Column) -> Column:

@@ -229,3 +229,42 @@ def filtered_csv(spark, sf):
     )
     kept = spark.read.option("header", True).csv(target)
     return kept.select(F.col("o_orderkey").cast("bigint"), "o_orderpriority")
+
+
+@query(
+    "Q2 Q3 Q6",
+    """SELECT l_orderkey, l_linenumber FROM lineitem WHERE CASE l_linenumber % 3
+      WHEN 2 THEN l_partkey BETWEEN 1 AND 499 OR l_partkey = 1200 ELSE l_partkey > 1000 END""",
+)
+def filter_far_numbers(spark, sf):
+    """Numbers far beyond the exact decimals, on either side, compare as numbers."""
+    key, form = F.col("l_partkey").cast("string"), F.col("l_linenumber") % 3
+    far = (
+        F.when(form == 0, F.concat(key, F.lit("e22")))
+        .when(form == 1, F.concat(F.lit("-"), key, F.lit("0" * 22)))
+        .otherwise(F.concat(key, F.lit(".0e-25")))
+    )
+    lines = view.table(spark, sf, "lineitem").withColumn("far", far)
+    leaf = lambda op, value: {"field": "far", "op": op, "value": value}
+    wanted = {"or": [leaf("gt", "1000" + "0" * 22), leaf("lt", "-1e25"),
+                     {"and": [leaf("gt", 0), leaf("lt", "5e-23")]}, leaf("in", ["x", "1.2e-22"])]}
+    return predicates.where(lines, wanted).select("l_orderkey", "l_linenumber")
+
+
+@query(
+    "Q10 S5",
+    """SELECT event_id, ' "' || event_type || '", ' || user_id || chr(10) || 'line two ' AS quoted
+    FROM events WHERE user_id < 50""",
+)
+def filtered_csv_of_any_text(spark, sf):
+    """Quotes, commas, line breaks and blanks at the edges come back as they were."""
+    source, target = shared_dir(spark, "rows"), shared_dir(spark, "kept")
+    layout = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false"}
+    view.table(spark, sf, "events").select(
+        "event_id", "user_id",
+        F.concat(F.lit(' "'), "event_type", F.lit('", '), "user_id", F.lit("\nline two ")).alias("quoted"),
+    ).write.options(**layout).csv(source)
+    predicates.filter_csv(spark, source, target, {"field": "user_id", "op": "lt", "value": 50})
+    kept = spark.read.options(**layout, multiLine="true").csv(target)
+    return kept.select(F.col("event_id").cast("bigint"), "quoted")

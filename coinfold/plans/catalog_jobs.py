@@ -18,7 +18,12 @@ from coinfold.plans.repair import repair
 from coinfold.schemas import FLAT_TRANSACTIONS, TXOUTS
 from coinfold.session import shared_dir
 from coinfold.sources import items as item_source
-from coinfold.sources.raw import land_raw_blocks, parse_raw_blocks, read_raw_blocks
+from coinfold.sources.raw import (
+    land_raw_blocks,
+    parse_raw_blocks,
+    raw_block_stream,
+    read_raw_blocks,
+)
 from coinfold.sources.tables import Ledger, one_per_key, read_table, write_keyed
 from coinfold.streaming.backfill import run as backfill_and_follow
 from coinfold.streaming.follow import Follow, catch_up, run_follow
@@ -93,6 +98,20 @@ def landed_raw_blocks(spark, sf):
     )
 
 
+@query("S1", with_views(CHAIN) + "SELECT hash, height, time, txid, value, address FROM chain")
+def raw_blocks_in_spaced_text(spark, sf):
+    """From a text column with blanks around its colons; values keep every digit all the same."""
+    text = chain_text(_orders(spark, sf)).select(
+        F.regexp_replace("value", '":', '" \t:  ').alias("value")
+    )
+    tx = F.col("tx")[0]
+    return parse_raw_blocks(text).select(
+        "hash", "height", "time", tx["txid"].alias("txid"),
+        tx["vout"][0]["value"].alias("value"),
+        tx["vout"][0]["scriptPubKey"]["address"].alias("address"),
+    )
+
+
 @query(
     "S1 S2 P6",
     with_views(CHAIN)
@@ -393,7 +412,6 @@ def followed_with_lag(spark, sf):
     broken = _orders(spark, sf).select(F.lit("no block").alias("value")).limit(3)
     broken.coalesce(1).write.mode("append").text(landing)
     ledger = _ledger(spark)
-    from coinfold.sources.raw import raw_block_stream
 
     follow = Follow(
         state=shared_dir(spark, "state"), ledger=ledger, lag=25, start=0,
@@ -420,7 +438,6 @@ def dead_letters(spark, sf):
           ELSE concat('{"hash":"h', o_orderkey, '","height":', o_orderkey, '}') END AS value"""
     )
     lines.write.text(landing)
-    from coinfold.sources.raw import raw_block_stream
 
     follow = Follow(
         state=shared_dir(spark, "state"), topics=shared_dir(spark, "topic"), start=0,
@@ -475,6 +492,18 @@ def backfilled_then_followed(spark, sf):
     return _content(ledger)
 
 
+@query("T1 T3 S12", with_views(CHAIN) + _TABLES.format(where=""))
+def followed_out_of_order(spark, sf):
+    """High heights land first, the stream is started anew, then the low ones land."""
+    landing, ledger = shared_dir(spark, "landing"), _ledger(spark)
+    follow = Follow(state=shared_dir(spark, "state"), ledger=ledger)
+    text = chain_text(_orders(spark, sf))
+    for part in ("height >= 1200", "height < 400", "height >= 400 AND height < 1200"):
+        text.where(part).select("value").write.mode("append").text(landing)
+        run_follow(raw_block_stream(spark, landing), follow).awaitTermination()
+    return _content(ledger)
+
+
 @query(
     "T8 A10",
     with_views(TX, BLOCK)

@@ -587,6 +587,31 @@ def scripts_read(spark, sf):
     )
 
 
+_LONG = """
+long_script AS (
+  SELECT id, CASE WHEN l_linenumber < 7 THEN 1 WHEN l_quantity < 50 THEN 150 ELSE 2500 END AS times,
+    payload FROM line)"""
+
+
+@query(
+    "F4 F5",
+    with_views(LINE, _LONG)
+    + """SELECT id, times, md5(lower(repeat(payload, times))) AS payload,
+      md5('OP_RETURN OP_PUSHDATA4 ' || upper(repeat(payload, times))) AS asm
+    FROM long_script""",
+)
+def long_scripts_read(spark, sf):
+    """Pushes of 4, 600 and 10,000 bytes."""
+    lines = view.with_line_columns(view.table(spark, sf, "lineitem"))
+    times = F.when(F.col("l_linenumber") < 7, 1).when(F.col("l_quantity") < 50, 150).otherwise(2500)
+    size = F.when(times == 1, "04000000").when(times == 150, "58020000").otherwise("10270000")
+    script = F.concat(F.lit("6a4e"), size, F.repeat("payload", times))
+    return lines.select("id", times.alias("times"), script.alias("hx")).select(
+        "id", "times", F.md5(op_return_payload(F.col("hx"))).alias("payload"),
+        F.md5(disassemble(F.col("hx"))).alias("asm"),
+    )
+
+
 # ---- audit and checks --------------------------------------------------------------------
 
 _HITS = {

@@ -62,9 +62,11 @@ PRUNABLE = {
 }
 
 
-def field_audit(raw: DataFrame) -> DataFrame:
+def field_audit(
+    raw: DataFrame, audited: dict[str, tuple[str, ...]] = AUDITED
+) -> DataFrame:
     """Long format ``level, field, sampled, hits``: rows seen at the level, and rows where
-    the field is present and not null.
+    the field is present and not null. ``audited`` names the fields of each level wanted.
 
     Counts are taken inside each block's row and summed in one aggregate over the scan; no
     input or output is exploded.
@@ -73,7 +75,7 @@ def field_audit(raw: DataFrame) -> DataFrame:
     vins = F.flatten(F.transform(txs, lambda t: _objects(t["vin"])))
     vouts = F.flatten(F.transform(txs, lambda t: _objects(t["vout"])))
     per_block = raw.select(
-        _is_block(raw).alias("_block"), *AUDITED["block"], F.size(_or_empty(txs)).alias("_txs"), vins.alias("_vins"),
+        _is_block(raw).alias("_block"), *audited.get("block", ()), F.size(_or_empty(txs)).alias("_txs"), vins.alias("_vins"),
         vouts.alias("_vouts"),
     )
     prevouts = F.transform("_vins", lambda v: v["prevout"])
@@ -81,11 +83,11 @@ def field_audit(raw: DataFrame) -> DataFrame:
     levels = {"vin": F.col("_vins"), "vout": F.col("_vouts"), "prevout": prevouts,
               "issuance": issuances}
     sums = {("block", "", "sampled"): F.count_if("_block"), ("tx", "", "sampled"): F.sum("_txs")}
-    for field in AUDITED["block"]:
+    for field in audited.get("block", ()):
         sums["block", field, "hits"] = F.count(field)
     for level, items in levels.items():
         sums[level, "", "sampled"] = F.sum(_hits(items, None))
-        for field in AUDITED[level]:
+        for field in audited.get(level, ()):
             sums[level, field, "hits"] = F.sum(_hits(items, field))
     names = {key: f"_{i}" for i, key in enumerate(sums)}
     totals = per_block.agg(
@@ -98,7 +100,7 @@ def field_audit(raw: DataFrame) -> DataFrame:
             F.col(names[level, "", "sampled"]).alias("sampled"),
             F.col(names[level, field, "hits"]).alias("hits"),
         )
-        for level, fields in AUDITED.items()
+        for level, fields in audited.items()
         for field in fields
     ]
     return totals.select(F.inline_outer(F.array(*rows)))

@@ -63,6 +63,7 @@ OUTPUT_FIELDS = {
     "op_return_data_hex": "op_return_data_hex",
     "surjection_proof": "surjection_proof",
 }
+SEQUENCE = "_sequence"
 RAW_REJECTED = "raw transaction: normalise it first, only items can be loaded"
 
 
@@ -85,6 +86,7 @@ def coerce_blocks(items: DataFrame) -> DataFrame:
         F.coalesce("number", "height").alias("height"),
         *[F.col(old).alias(new) for new, old in BLOCK_FIELDS.items()],
         F.coalesce(F.col("txids"), from_raw).alias("txids"),
+        *_order(df),
     )
 
 
@@ -111,6 +113,7 @@ def coerce_transactions(items: DataFrame) -> DataFrame:
         any_of(outs, lambda o: truthy(o["confidential_value"])).alias("has_any_confidential"),
         any_of(ins, _pegged_in).alias("has_pegin"),
         any_of(ins, _issuing).alias("has_issuance"),
+        *_order(df),
     )
 
 
@@ -120,7 +123,9 @@ def coerce_inputs(items: DataFrame) -> DataFrame:
     issuance = row["issuance"]
     return (
         _checked(items)
-        .select("txid", "block_number", F.posexplode_outer("inputs").alias("vin", "_in"))
+        .select(
+            "txid", "block_number", *_order(items), F.posexplode_outer("inputs").alias("vin", "_in")
+        )
         .where(row.isNotNull())
         .select(
             "txid",
@@ -135,6 +140,7 @@ def coerce_inputs(items: DataFrame) -> DataFrame:
             to_base_units(issuance["tokenamount"]).alias("issuance_inflation_keys"),
             first_address(row["addresses"]).alias("prevout_address"),
             F.col("block_number").alias("block_height"),
+            *_order(items),
         )
     )
 
@@ -144,7 +150,7 @@ def coerce_outputs(items: DataFrame) -> DataFrame:
     row = F.col("_out")
     return (
         _checked(items)
-        .select("txid", "block_number", F.explode_outer("outputs").alias("_out"))
+        .select("txid", "block_number", *_order(items), F.explode_outer("outputs").alias("_out"))
         .where(row.isNotNull())
         .select(
             "txid",
@@ -154,6 +160,7 @@ def coerce_outputs(items: DataFrame) -> DataFrame:
             row["op_return_data_hex"].isNotNull().alias("is_op_return"),
             F.coalesce(row["type"] == "fee", F.lit(False)).alias("is_fee"),
             F.col("block_number").alias("block_height"),
+            *_order(items),
         )
     )
 
@@ -172,6 +179,11 @@ def item_rows(
     return rows
 
 
+def _order(items: DataFrame) -> list[str]:
+    """The place of the item in its input, where it is known, goes along with its rows."""
+    return [SEQUENCE] if SEQUENCE in items.columns else []
+
+
 def _checked(items: DataFrame) -> DataFrame:
     """Transaction items; a row that still has raw inputs and outputs fails the job."""
     df = _with_columns(items, TX_ITEM, TX_ITEM_INPUT)

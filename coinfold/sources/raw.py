@@ -105,7 +105,7 @@ def land_raw_blocks(df: DataFrame, path: str, bucket_size: int = DEFAULT_BUCKET)
     Text is parsed once; the four tables then read only the nested fields they use, and a
     height range only opens its buckets.
     """
-    bucketed = with_height_bucket(df, "height", bucket_size)
+    bucketed = with_height_bucket(df, "height", bucket_size).hint("rebalance", "height_bucket")
     bucketed.write.mode("overwrite").partitionBy("height_bucket").parquet(path)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coinfold.operators.coerce import SEQUENCE
 from coinfold.operators.rows import conform
 from coinfold.schemas import LEGACY_MARKER, TABLE_KEYS, TABLES
 from coinfold.session import shared_dir
@@ -207,12 +208,14 @@ class Ledger:
     def write(self, rows: dict[str, DataFrame], batch_id: str | None = None) -> None:
         """Write the given tables, children before parents and blocks last: a height that has
         its block has all that belongs to it, so whoever goes on from the stored heights
-        takes a batch that broke off again. With a ``batch_id`` a commit record follows."""
+        takes a batch that broke off again. Of rows with one key the last in the input wins
+        where the rows know their place in it. With a ``batch_id`` a commit record follows."""
         for name in CHILDREN_FIRST:
             if name in rows:
+                order = [SEQUENCE] if SEQUENCE in rows[name].columns else None
                 write_keyed(
                     self.spark, self.path(name), TABLES[name], rows[name], TABLE_KEYS[name],
-                    _HEIGHTS[name], strategy=self.strategy, bucket_size=self.bucket_size,
+                    _HEIGHTS[name], order, self.strategy, self.bucket_size,
                 )
         if batch_id is not None:
             record = self.spark.range(1).select(F.lit(batch_id).alias("batch_id"))

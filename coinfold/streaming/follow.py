@@ -7,6 +7,7 @@ row keys, so a second run replaces the first.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ from coinfold.operators.coerce import item_rows
 from coinfold.operators.enrich import enrich_transactions, outpoints, output_counts
 from coinfold.operators.heights import resume_height
 from coinfold.operators.items import block_items, transaction_items, with_item_id
+from coinfold.plans.ingest import load_flat
 from coinfold.schemas import CORRUPT, RAW_BLOCK
 from coinfold.sources.tables import Ledger
 
@@ -32,8 +34,10 @@ class Follow:
 
     ``state`` is a folder for the checkpoint and the blocks that wait for the lag.
     ``ledger`` receives rows, ``topics`` receives items below ``<topics>.blocks`` and
-    ``<topics>.transactions``; at least one is needed. ``dead_letters`` collects unusable
-    blocks; without it the first one ends the stream.
+    ``<topics>.transactions``, ``flat`` is a folder for the flat tables; ``sink`` is called
+    with topic, lines and micro-batch number, see :func:`console` and :func:`format_sink`. At least
+    one is needed. ``dead_letters`` collects unusable blocks; without it the first one ends
+    the stream.
     """
 
     state: str
@@ -43,6 +47,8 @@ class Follow:
     lag: int = 0
     enrich: bool = False
     dead_letters: str | None = None
+    flat: str | None = None
+    sink: Callable[[str, DataFrame, int], None] | None = None
 
 
 def start_height(follow: Follow) -> int:
@@ -71,8 +77,8 @@ def run_follow(
 ) -> StreamingQuery:
     """Start the stream over parsed raw blocks. Without ``interval`` it takes what has
     landed and stops."""
-    if follow.ledger is None and follow.topics is None:
-        raise ValueError("a stream needs tables or topics to write to")
+    if not any((follow.ledger, follow.topics, follow.flat, follow.sink)):
+        raise ValueError("a stream needs tables, topics or a sink to write to")
     first = start_height(follow)
     writer = (
         source.writeStream.option("checkpointLocation", f"{follow.state}/checkpoint")
@@ -107,18 +113,42 @@ def process_batch(batch: DataFrame, number: int, follow: Follow, first: int) ->
     transactions = spark.read.schema(transactions.schema).parquet(kept)
     if follow.ledger is not None:
         follow.ledger.write(item_rows(blocks, transactions), batch_id=f"{_stream_id(follow)}-{number}")
+    if follow.flat is not None:
+        load_flat(spark, follow.flat, blocks, transactions)
     if follow.topics is not None:
         write_topics(blocks, transactions, follow.topics, number)
+    if follow.sink is not None:
+        for topic, items in zip(TOPICS, (blocks, transactions)):
+            follow.sink(topic, _lines(items), number)
 
 
 def write_topics(blocks: DataFrame, transactions: DataFrame, topics: str, number: int) -> None:
-    """Items of a micro-batch as JSON lines, one folder per topic. Another format, such as
-    a message broker, is a change of the writer only."""
+    """Items of a micro-batch as JSON lines, one folder per topic."""
     for topic, items in zip(TOPICS, (blocks, transactions)):
-        text = items.select(
-            F.to_json(F.struct(*items.columns), {"ignoreNullFields": "false"}).alias("value")
-        )
-        text.write.mode("overwrite").text(f"{topics}.{topic}/batch={number}")
+        _lines(items).write.mode("overwrite").text(f"{topics}.{topic}/batch={number}")
+
+
+def console(topic: str, lines: DataFrame, number: int) -> None:
+    """Items as lines on the driver's standard output, one partition at a time."""
+    for row in lines.toLocalIterator():
+        print(f"{topic}\t{row.value}")
+
+
+def format_sink(kind: str, topic_option: str = "topic", **options):
+    """A sink that writes lines in any format Spark has a writer for, such as a message broker; the topic
+    goes to the option named."""
+
+    def write(topic: str, lines: DataFrame, number: int) -> None:
+        writer = lines.write.format(kind).mode("append").options(**options)
+        writer.option(topic_option, topic).save()
+
+    return write
+
+
+def _lines(items: DataFrame) -> DataFrame:
+    return items.select(
+        F.to_json(F.struct(*items.columns), {"ignoreNullFields": "false"}).alias("value")
+    )
 
 
 def catch_up(blocks: DataFrame, head: int, lag: int = 0) -> DataFrame:

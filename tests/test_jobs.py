@@ -246,3 +246,42 @@ def test_new_keys_rewrite_no_file(spark, tmp_path):
         assert seen.items() <= now.items() and len(now) > len(seen)
         seen = now
     assert ledger.table("blocks").count() == 9
+
+
+@pytest.mark.parametrize("strategy, size", [("update", 100), ("ignore", 900)])
+def test_the_last_item_in_the_files_wins(spark, tmp_path, strategy, size):
+    lines = lambda *rows: "\n".join(json.dumps(r) for r in rows)
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "1.json").write_text(lines({"hash": "x", "number": 1, "size": 900}, {"hash": "y", "number": 1, "size": 5}))
+    (tmp_path / "b" / "2.json").write_text(lines({"hash": "x", "number": 1, "size": 950}, {"hash": "x", "number": 1, "size": 100}))
+    ledger = Ledger(spark, str(tmp_path / "ledger"), strategy=strategy)
+    load_items(spark, ledger, str(tmp_path / "b"))
+    assert {r.hash: r.size for r in ledger.table("blocks").collect()} == {"x": size, "y": 5}
+
+
+def test_stream_into_flat_tables_and_any_sink(spark, tmp_path, capsys):
+    from coinfold.streaming.follow import console, format_sink
+
+    landing = tmp_path / "landing"
+    text = format_sink("json", "topic", path=str(tmp_path / "sunk"))
+
+    def sink(topic, lines, number):
+        console(topic, lines, number)
+        text(topic, lines, number)
+
+    follow = Follow(str(tmp_path / "state"), start=0, flat=str(tmp_path / "flat"), sink=sink)
+    for name, heights in (("1.json", range(2)), ("2.json", range(2, 5))):
+        land_file(landing, name, *[chain_block(h) for h in heights])
+        run_follow(raw_block_stream(spark, str(landing)), follow).awaitTermination()
+    assert sorted(r.number for r in spark.read.parquet(str(tmp_path / "flat/blocks")).collect()) == list(range(5))
+    assert spark.read.parquet(str(tmp_path / "flat/transactions")).count() == 5
+    assert spark.read.json(str(tmp_path / "sunk")).count() == 10
+    assert capsys.readouterr().out.count("blocks\t") == 5
+
+
+def test_exports_have_few_files(spark, tmp_path):
+    landing = land_file(tmp_path / "landing", "1.json", *[chain_block(h) for h in range(40)])
+    raw = read_raw_blocks(spark, landing).repartition(4)
+    item_source.export_partitions(raw, str(tmp_path / "out"), "side", start=0, end=39, batch_size=20)
+    for folder in (tmp_path / "out").rglob("block_end=*"):
+        assert len(list(folder.glob("part-*"))) == 1

@@ -342,6 +342,25 @@ def loaded_item_files(spark, sf):
     return _content(ledger)
 
 
+@query(
+    "S13 S9",
+    with_views(CHAIN)
+    + "SELECT hash, CASE height % 3 WHEN 0 THEN height WHEN 1 THEN height + 5 ELSE 7 END AS size FROM chain",
+)
+def loaded_item_files_in_order(spark, sf):
+    """Keys repeated within a file and in a later one: the last wins, though it is smaller."""
+    path = shared_dir(spark, "blocks")
+    made = items.block_items(parse_raw_blocks(chain_text(_orders(spark, sf))))
+    number, kind = F.col("number"), F.col("number") % 3
+    first = F.when(kind == 2, F.array(number + 900, F.lit(7))).otherwise(F.array(number + 5))
+    repeated = made.withColumn("size", F.explode(first))
+    item_source.write_items(repeated, f"{path}/1")
+    item_source.write_items(made.where(kind == 0).withColumn("size", number), f"{path}/2")
+    ledger = _ledger(spark)
+    load_items(spark, ledger, f"{path}/*")
+    return ledger.table("blocks").select("hash", F.col("size").cast("bigint").alias("size"))
+
+
 # ---- repair ------------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from coinfold.session import shared_dir
 
 #: Texts are worked on in pieces of about this many bytes, to bound a task's memory.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -41,15 +41,21 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"[0-9a-f]+", 32),
 )
-#: How well-known services write their keys.
+_LINE = r"(?:Proc-Type|DEK-Info|Version|Comment):[^\r\n\\]*+|[A-Za-z0-9+/=]{24,}+|[A-Za-z0-9+/=]++(?=[\x20\t]*(?:[\r\n\\\"',;<]|\Z))"
+#: How well-known services write their keys. A private key goes to the END line of its kind if no other
+#: BEGIN or END is before it, or else to the end of its base64 lines, which may be parted by blanks or a written-out \n.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]{10,250}"),
-    Rule("map_key", r"AIza[0-9A-Za-z_-]{35}"),
+    Rule(
+        "private_key",
+        r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1-----"
+        rf"|(?:(?:\s|\\+[nrt])*+(?:{_LINE}))*+)",
+    ),
+    Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("map_key", r"AIza[0-9A-Za-z_-]{35,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("payment", r"[rs]k_live_[0-9A-Za-z]{16,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,100}:[^\s/:@]{3,100}@[^\s/]+"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]*:[^\s/@]+@[^\s/]+"),
 )
 
 # ---- from an expression to a Boolean query -----------------------------------------------

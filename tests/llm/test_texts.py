@@ -70,6 +70,33 @@ def test_redaction_leaves_no_secret(documents):
     assert redacted(frame.where("false")).collect() == secret_report(frame.where("false")).collect() == []
 
 
+BODY = ["MIIEowIBAAKCAQEAx" + "q7Rz+/Wk" * 6] * 3 + ["c2hvcnQ="]
+LONG = "Zz9" * 200
+
+
+@pytest.mark.parametrize(
+    "before, secret, after",
+    [
+        ("a ", "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(BODY) + "\n-----END RSA PRIVATE KEY-----", "\nb"),
+        ("a ", "-----BEGIN EC PRIVATE KEY-----\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,0A\r\n\r\n" + "\r\n".join(BODY) + "\r\n-----END EC PRIVATE KEY-----", ""),
+        ('{"key": "', "-----BEGIN PRIVATE KEY-----\\n" + "\\n".join(BODY) + "\\n-----END PRIVATE KEY-----", '\\n"}'),
+        ("", "-----BEGIN PRIVATE KEY----- " + " ".join(BODY) + " -----END PRIVATE KEY-----", " b"),
+        ("a ", "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(BODY), "\nThe key above has no end."),
+        ("a ", "-----BEGIN PRIVATE KEY-----\n  " + "\n  ".join(BODY), ""),
+        ('{"key": "', "-----BEGIN PRIVATE KEY-----\\n" + "\\n".join(BODY), '"}'),
+        ("", "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(BODY), "\n-----END EC PRIVATE KEY-----"),
+        ("see ", "-----BEGIN PRIVATE KEY-----", " is how a key begins - it ends otherwise"),
+        ("a ", "ghp_" + LONG, " b"), ("a ", "xoxb-" + LONG, " b"), ("a ", "AIza" + LONG, " b"),
+        ("a ", "redis://:pw@host", " b"), ("a ", "https://user:p@host", "/x"), ("a ", "https://user:" + LONG + "@host", "/x"),
+        ("a ", "https://" + LONG + ":pass@host", " b"), ("a ", "amqp://user:a:b@host", "/x"), ("a ", "see http://host:80/x@y", ""),
+    ],
+)
+def test_secrets_go_whole(documents, before, secret, after):
+    (row,) = redacted(documents((1, before + secret + after))).collect()
+    kind = {"-": "private_key", "g": "code_host", "x": "chat_bot", "A": "map_key", "s": None}.get(secret[0], "url_login")
+    assert row.text == before + (f"[{kind}]" if kind else secret) + after
+
+
 @pytest.mark.parametrize(
     "pattern, matches",
     [

@@ -113,6 +113,7 @@ class Model:
     weights: np.ndarray
     bias: float
     bits: int = BITS
+    learnt: bool = True  # not if passages of only one label, or none, were there to learn from
 
     def of_passages(self, found: Passages) -> np.ndarray:
         n = int(found.begin[-1])
@@ -237,7 +238,7 @@ def train_on(bags_of, bits: int = BITS) -> Model:
     kinds = [np.flatnonzero(toxic == k) for k in (0, 1)]
     if not all(map(len, kinds)):
         share = float(np.clip(toxic.mean() if len(toxic) else 0.5, 1e-6, 1 - 1e-6))
-        return Model(np.zeros(1 << bits), float(np.log(share / (1 - share))), bits)
+        return Model(np.zeros(1 << bits), float(np.log(share / (1 - share))), bits, learnt=False)
     trainer = _Trainer(bits)
     clean = [lists[i] for i in kinds[0]]
     both = np.concatenate([np.resize(k, max(map(len, kinds))) for k in kinds])
@@ -321,6 +322,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5."""
+    """The rows of ``docs`` that score below 0.5; all rows where one kind of label is missing, as nothing then tells texts apart."""
     model = train(docs, labels)
+    if not model.learnt:
+        return docs
     return score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model).where("score < 0.5").select("row.*")

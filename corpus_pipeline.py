@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents judged toxic go. A null text is judged as an empty one."""
+    """Documents judged toxic go. A null text is judged as an empty one. Without labels of both kinds all stay."""
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

@@ -50,6 +50,12 @@ def test_toxic_documents_go(spark, steps):
     assert not rows(steps[1]) - rows(steps[0])
 
 
+@pytest.mark.parametrize("labels", [[], [(987654321, 0, 1)], [(1, 0, 1), (2, 0, 1), (3, 0, 1)], [(1, 1, 0), (2, 1, 0)]])
+def test_without_both_labels_no_document_goes(spark, steps, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert rows(corpus_pipeline.toxicity_stage(spark, steps[0], str(tmp_path))) == rows(steps[0])
+
+
 def test_one_of_a_group_stays(steps):
     before = steps[1].collect()
     prints = {r.doc_id: fingerprint((r.text or "").encode()) & (2**64 - 1) for r in before if r.doc_id is not None}

@@ -16,8 +16,9 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from coinfold.llm.common import each_run, staged, text_bytes
 from coinfold.llm.components import connected_components, forest
@@ -48,8 +49,8 @@ def fingerprint(text: bytes, words: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").reshape(-1).view(np.int64)[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (long) for every row. A null text is empty: its fingerprint is 0."""
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """doc_id, fp (long) and ``more`` for every row. A null text is empty: its fingerprint is 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,12 +58,13 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             view = memoryview(data)
             prints = [fingerprint(bytes(view[a:b])) for a, b in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]], names=names
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(work, f"doc_id {kind}, fp long")
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    shape = StructType([source.schema[0], StructField("fp", LongType()), *source.schema[2:]])
+    names = shape.names
+    return source.mapInArrow(work, shape)
 
 
 def near_pairs(a: np.ndarray, b: np.ndarray, radius: int, rows: int = 256, cols: int = 4096):
@@ -144,6 +146,12 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
 
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """``nodes``, one row for each ``fp``, with ``root``, the least fingerprint reachable over links."""
+    found = connected_components(fingerprint_links(nodes.select("fp"), radius), "a", "b")
+    return nodes.join(found, nodes.fp == found.node, "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
 ) -> DataFrame:
@@ -158,11 +166,7 @@ def simhash_groups(
     """
     prints = staged(with_fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    links = fingerprint_links(nodes.select("fp"), radius)
-    found = connected_components(links, "a", "b")
-    nodes = nodes.join(found, nodes.fp == found.node, "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
+    nodes = _rooted(nodes, radius)
     leasts = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_print = nodes.join(leasts, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select(
@@ -171,11 +175,17 @@ def simhash_groups(
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stands for its group: the one with the least id.
+    """The rows of ``docs`` that stand for their group: of each group the row with the least id.
 
-    Of rows that repeat an id one stays. Rows without an id stay; nothing can name them.
+    Groups are of rows, not of ids: of rows that repeat an id one stays for each group in which the id is the
+    least. A text of that id is told from its others by a 64-bit hash; of rows that repeat both one stays.
+    Rows without an id stay; nothing can name them.
     """
-    groups = simhash_groups(docs, id_col, text_col)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    key = F.xxhash64(F.col(text_col).cast("string"))
+    prints = staged(with_fingerprints(docs, id_col, text_col, key.alias("key")), "fingerprints")
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))
+    nodes = _rooted(staged(prints.groupBy("fp").agg(F.min(named).alias("least")), "nodes"), RADIUS)
+    leasts = nodes.groupBy("root").agg(F.min("least").alias("least")).where("least is not null")
+    kept = leasts.select(F.col("least.doc_id").alias(id_col), F.col("least.key").alias("__key"))
+    found = docs.withColumn("__key", key).join(kept, [id_col, "__key"], "left_semi").dropDuplicates([id_col, "__key"])
+    return found.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

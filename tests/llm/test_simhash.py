@@ -75,6 +75,14 @@ def test_groups_against_brute_force(spark, documents):
     assert sum(r.doc_id is None for r in kept) == 1
 
 
+def test_a_repeated_id_loses_no_unlike_text(documents):
+    rng = random.Random(6)
+    three, five, five_too = (" ".join(rng.choices(["w%d" % k for k in range(500)], k=50)) for _ in range(3))
+    rows = [(3, three), (5, three), (5, five), (5, five_too), (5, five), (7, five_too)]
+    kept = one_of_each_group(documents(*rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, three), (5, five), (5, five_too)])
+
+
 def test_no_documents(documents):
     assert simhash_groups(documents((1, "x")).where("false")).collect() == []
 

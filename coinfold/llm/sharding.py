@@ -55,10 +55,14 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_
     row that alone is larger. Defined cases: a null text has no bytes; a null id hashes like an empty text; rows that repeat an
     id share a bucket, over several pages if need be; an empty table gives no rows. Other columns are ignored.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("bytes"),
-        hash_of(id_col).alias("h"), F.monotonically_increasing_id().alias("row"),
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    return _placed(rows, limit).drop("row")
+
+
+def _placed(docs: DataFrame, limit: int) -> DataFrame:
+    """What ``assign_shards`` gives, and ``row``, of docs (doc_id, text, row); ``row`` is numbered per task, in the bits from the 33rd."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    rows = docs.select("doc_id", size.alias("bytes"), hash_of("doc_id").alias("h"), "row")
     left, done = staged(rows, "sizes"), []
     for level in range(HASH_BITS // STEP):
         cells = staged(_level(left, level, limit), "directory")
@@ -88,18 +92,15 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_
     digits = F.lpad(F.bin("h"), HASH_BITS, "0")
     return placed.select(
         "doc_id", "bytes", digits.substr(F.lit(1), F.col("bucket.depth")).alias("shard"), F.col("bucket.depth").alias("depth"),
-        "page", F.col("bucket.bytes").alias("shard_bytes"),
+        "page", F.col("bucket.bytes").alias("shard_bytes"), "row",
     )
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``docs`` below ``path``, a folder for each shard and page. Rows of one id go by their order within it."""
-    nth = Window.partitionBy(id_col).orderBy("shard", "page")
-    places = assign_shards(docs, limit, id_col, text_col).withColumnRenamed("doc_id", id_col)
-    places = places.withColumn("nth", F.row_number().over(nth)).select(F.col(id_col).alias("of"), "nth", "shard", "page")
-    numbered = docs.withColumn("nth", F.row_number().over(Window.partitionBy(id_col).orderBy(id_col)))
-    both = numbered[id_col].eqNullSafe(places["of"]) & (numbered["nth"] == places["nth"])
-    out = numbered.join(places, both).select(*docs.columns, "shard", "page")
+    """Write ``docs`` below ``path``, a folder for each shard and page. Works on a written copy, whose rows are numbered."""
+    kept = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "shard-rows")
+    places = _placed(kept.select(F.col(f"doc.{id_col}").alias("doc_id"), F.col(f"doc.{text_col}").alias("text"), "row"), limit)
+    out = kept.join(places.select("row", "shard", "page"), "row").select("doc.*", "shard", "page")
     out.repartition("shard", "page").write.partitionBy("shard", "page").parquet(path)
 
 

@@ -8,6 +8,7 @@ import pytest
 
 from coinfold.llm.mixing import MIX_SQL, mix, mixed
 from coinfold.llm.packing import Encoder, cut, pack, plan, sequences
+from coinfold.llm import sharding
 from coinfold.llm.sharding import SHARDS_SQL, assign_shards, write_shards
 from tests.compare import compare
 
@@ -144,3 +145,22 @@ def test_shards_stay_within_the_limit(spark, documents, tmp_path):
     back = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out"))
     assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)
     assert assign_shards(docs.where("false"), 300).collect() == []
+
+
+def test_writing_shards_deals_nothing_by_id(spark, documents, tmp_path, monkeypatch):
+    rows = [(None, "q" * (k % 30)) for k in range(200)] + [(7, "y" * (k % 50)) for k in range(200)] + [(k, "x") for k in range(50)]
+    dealt = []
+
+    real = sharding.Window
+
+    class Spy(real):
+        @staticmethod
+        def partitionBy(*cols):
+            dealt.extend(map(str, cols))
+            return real.partitionBy(*cols)
+
+    monkeypatch.setattr(sharding, "Window", Spy)
+    write_shards(documents(*rows), str(tmp_path / "out"), 300)
+    assert dealt and "doc_id" not in dealt
+    back = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out"))
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from coinfold.llm.audit import AUDIT_SQL, filter_audit
 from coinfold.llm.mixing import MIX_SQL, mix
 from coinfold.llm.packing import pack
+from coinfold.llm.periodic import run_report
+from coinfold.llm.repeats import REPEATS_SQL, repeat_report
 from coinfold.llm.secrets import secret_report
 from coinfold.llm.sharding import SHARDS_SQL, assign_shards
 from coinfold.llm.simhash import simhash_groups
@@ -85,3 +88,18 @@ def op5_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(ARCHIVE_SQL)
 def op8_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
+
+
+@query(AUDIT_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(table(spark, sf_dir, "documents"))
+
+
+@query(REPEATS_SQL)
+def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))

@@ -14,8 +14,8 @@ pieces share is no task's burden.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,11 +32,6 @@ from coinfold.llm.common import staged, text_bytes
 LIMIT = 2048
 TOKENIZER = "byte_bpe_50k.json"
 END = b"\0\0\0\0"
-#: So many words' ids a worker remembers twice over: the older half goes when the newer one is full.
-REMEMBERED = 200_000
-#: Marks that may end a word of letters; none is a letter, digit or blank.
-MARKS = ".,;:!?\"')]}-%&*#$"
-_SPLIT, _BLANKS = re.compile(r"(?<=\S) "), re.compile(r"\s ")
 
 # ---- tokens ------------------------------------------------------------------------------
 
@@ -48,12 +43,41 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+#: Fixed value: how byte-level tokenizers of this kind cut a text before they merge.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _plain(model: dict):
+    """The same merges for the quicker of the two libraries, if the tokenizer file holds byte-level merges and no more:
+    bytes first, then each merge's token in the order of the merges, so that ids are ranks."""
+    import tiktoken
+
+    cuts = model["pre_tokenizer"] or {}
+    plain = (
+        model["model"]["type"] == "BPE"
+        and not model["normalizer"]
+        and cuts.get("type") == "ByteLevel"
+        and cuts.get("use_regex", True)
+        and not cuts.get("add_prefix_space")
+        and not any(model["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    )
+    vocabulary = model["model"]["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]] if plain else []
+    if not plain or any(vocabulary.get(a + b) != 256 + rank for rank, (a, b) in enumerate(merges)):
+        return None
+    of_letter = {letter: byte for byte, letter in enumerate(_byte_letters())}
+    made = {token: bytes(map(of_letter.__getitem__, token)) for token in (*of_letter, *(a + b for a, b in merges))}
+    if {vocabulary.get(letter) for letter in of_letter} != set(range(256)):
+        return None
+    ranks = {text: vocabulary[token] for token, text in made.items()}
+    return tiktoken.Encoding("plain", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
-    """Ids of texts by a byte-level BPE tokenizer, as little-endian unsigned 32-bit numbers.
+    """Ids of texts by a tokenizer file, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer cuts a text into words before it merges, and never across a blank that
-    follows a visible character. So a text is split there, and the ids of words met before
-    are remembered. A text that holds one of the tokenizer's added tokens is not split.
+    Byte-level merges are made by the quicker library, whose ids are the same for every code point; a text that
+    holds one of the tokenizer's added tokens, and any other kind of tokenizer, goes to the file's own one.
     """
 
     def __init__(self, name: str):
@@ -66,54 +90,21 @@ class Encoder:
             name = public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(name)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters = dict(enumerate(_byte_letters()))
-        self.words, self.older_words, self.cores, self.older_cores, self.marks = ({} for _ in range(5))
+        with open(name, encoding="utf-8") as file:
+            self.quick = _plain(json.load(file))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _merged(self, word: str) -> bytes:
-        """Ids of a text that the tokenizer would not cut."""
-        word = word if word.isascii() else word.encode().decode("latin-1")
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))]).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a blank and ``word``; the plain case, letters and then marks, goes to the merges directly."""
-        core = word.rstrip(MARKS)
-        if not core.isalpha() or max(core) >= "\u0250":
-            return self.whole(" " + word)
-        found = self.cores.get(core)
-        if found is None:
-            found = self.cores[core] = self.older_cores.get(core) or self._merged(" " + core)
-        if len(core) == len(word):
-            return found
-        mark = word[len(core) :]
-        if mark not in self.marks:
-            self.marks[mark] = self._merged(mark)
-        return found + self.marks[mark]
-
     def ids(self, text: str) -> bytes:
-        for token in self.added:
-            if token in text:
-                return self.whole(text)
-        parts = _SPLIT.split(text) if _BLANKS.search(text) else text.split(" ")
-        words, older = self.words, self.older_words
-        rest = parts[1:]
-        for new in set(rest).difference(words):
-            words[new] = older.get(new) or self._word(new)
-        out = b"".join([self.whole(parts[0]) if parts[0] else b"", *map(words.__getitem__, rest)])
-        if len(words) > REMEMBERED:
-            self.words, self.older_words = {}, words
-        if len(self.cores) > REMEMBERED:
-            self.cores, self.older_cores = {}, self.cores
-        if len(self.marks) > REMEMBERED:
-            self.marks = {}
-        return out
+        if self.quick is None or any(token in text for token in self.added):
+            return self.whole(text)
+        return array("I", self.quick.encode_ordinary(text)).tobytes()
 
 
 @lru_cache(maxsize=2)
 def encoder_of(name: str) -> Encoder:
-    """One a worker process, so its tasks share what is remembered."""
+    """One a worker process, for all its tasks."""
     return Encoder(name)
 
 

@@ -53,7 +53,8 @@ MORE_RULES = (
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("map_key", r"AIza[0-9A-Za-z_-]{35,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # only where a token begins, so that a long run of starts is read once
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("payment", r"[rs]k_live_[0-9A-Za-z]{16,}"),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]*:[^\s/@]+@[^\s/]+"),
 )
@@ -247,11 +248,11 @@ _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def _per_batch(rules: tuple[Rule, ...], make, schema: pa.Schema):
+def _per_batch(rules: tuple[Rule, ...], make, text: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
         for batch in batches:
-            data, starts = text_bytes(batch.column("__text"))
+            data, starts = text_bytes(batch.column(text))
             for low, high in pieces_of(starts):
                 found = scanner.spans(data[starts[low] : starts[high]], starts[low : high + 1] - starts[low])
                 yield make(batch.slice(low, high - low), found, rules)
@@ -275,9 +276,9 @@ def secret_spans(
         lists = [[{"kind": rules[k].kind, "start": a, "end": b} for a, k, b in found.get(i, ())] for i in range(batch.num_rows)]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lists, pa.list_(item))], names=["doc_id", "spans"])
 
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("__text"))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shape = f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>"
-    return source.mapInArrow(_per_batch(rules, make, None), shape)
+    return source.mapInArrow(_per_batch(rules, make, "text"), shape)
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
@@ -302,7 +303,10 @@ def secret_report(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
     """``docs`` with each secret in the text replaced by its rule's kind in brackets; overlaps become one.
 
-    A column ``n_chars`` is set to the new length where a text was changed. A null text stays null.
+    A column ``n_chars`` is set to the new length where a text was changed.
+
+    Defined cases: a null or empty text stays as it is, and so does every other column, whatever its name; repeated
+    rows are each changed alike; an empty table gives no rows; texts are searched whole, however long.
     """
     names, schema = docs.columns, docs.schema
 
@@ -325,7 +329,10 @@ def redacted(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
                 columns["n_chars"] = pa.array(lengths, columns["n_chars"].type)
         return pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
-    source = docs.withColumn("__text", F.col(text_col).cast("string"))
-    return source.mapInArrow(_per_batch(rules, make, None), schema)
+    searched = "searched"
+    while searched in {n.lower() for n in names}:
+        searched += "_"
+    source = docs.withColumn(searched, F.col(text_col).cast("string"))
+    return source.mapInArrow(_per_batch(rules, make, searched), schema)
 
 

@@ -179,13 +179,15 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Groups are of rows, not of ids: of rows that repeat an id one stays for each group in which the id is the
     least. A text of that id is told from its others by a 64-bit hash; of rows that repeat both one stays.
-    Rows without an id stay; nothing can name them.
+    Rows without an id stay; nothing can name them. A null or blank text is a text like any other, so of such rows
+    with an id one stays. Columns keep their names and values, whatever they are called. An empty table gives no rows.
     """
     key = F.xxhash64(F.col(text_col).cast("string"))
     prints = staged(with_fingerprints(docs, id_col, text_col, key.alias("key")), "fingerprints")
     named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))
     nodes = _rooted(staged(prints.groupBy("fp").agg(F.min(named).alias("least")), "nodes"), RADIUS)
     leasts = nodes.groupBy("root").agg(F.min("least").alias("least")).where("least is not null")
-    kept = leasts.select(F.col("least.doc_id").alias(id_col), F.col("least.key").alias("__key"))
-    found = docs.withColumn("__key", key).join(kept, [id_col, "__key"], "left_semi").dropDuplicates([id_col, "__key"])
-    return found.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    kept = leasts.select(F.col("least.doc_id").alias("doc_id"), F.col("least.key").alias("key"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), key.alias("key"))
+    found = rows.join(kept, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    return found.unionByName(rows.where("doc_id IS NULL")).select("row.*")

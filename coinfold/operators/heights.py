@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 GAP_BUCKET = 100_000
+_CELL_BITS, _CELL = 6, 64
 REPORT_ROWS = 50
 GAPS = "start_missing bigint, end_missing bigint"
 
@@ -173,31 +174,32 @@ def range_report(ranges: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:
     return ranges.orderBy("start_missing").limit(rows)
 
 
-def blocks_in_ranges(raw: DataFrame, ranges: DataFrame, bucket: int = GAP_BUCKET) -> DataFrame:
+def range_cells(ranges: DataFrame) -> DataFrame:
+    """Disjoint ranges as cells of 64 heights: the cell's number and a bit for each height that is in a range."""
+    low, high = F.col("start_missing"), F.col("end_missing")
+    cell = F.shiftleft(F.col("_cell"), _CELL_BITS)
+    first, last = F.greatest(low, cell) - cell, F.least(high, cell + _CELL - 1) - cell
+    bits = F.expr("shiftleft(shiftrightunsigned(-1L, CAST(_size AS INT)), CAST(_first AS INT))")
+    return (
+        ranges.where(low <= high)
+        .select(low, high, F.explode(F.sequence(F.shiftright(low, _CELL_BITS), F.shiftright(high, _CELL_BITS))).alias("_cell"))
+        .select("_cell", first.alias("_first"), (_CELL - 1 - (last - first)).alias("_size"))
+        .groupBy("_cell")
+        .agg(F.bit_or(bits).alias("_bits"))
+    )
+
+
+def blocks_in_ranges(raw: DataFrame, ranges: DataFrame) -> DataFrame:
     """Raw blocks whose height lies in one of the disjoint ranges.
 
-    Ranges are cut at bucket bounds, so the match is an equality join on the bucket with the
-    bounds as a residual test, whatever the number of ranges.
+    The ranges become cells of 64 aligned heights with a bit for each height, so that a block is looked up by one
+    equality join on its cell, a key that no more than 64 heights share, and a test of its bit.
     """
-    low, high = F.col("start_missing"), F.col("end_missing")
-    first, last = F.floor(low / F.lit(bucket)), F.floor(high / F.lit(bucket))
-    cut = (
-        ranges.withColumn("_bucket", F.explode(F.sequence(first, last)))
-        .select(
-            "_bucket",
-            F.greatest(low, F.col("_bucket") * bucket).alias("_low"),
-            F.least(high, F.col("_bucket") * bucket + (bucket - 1)).alias("_high"),
-        )
-    )
-    bucketed = raw.where(F.col("height").isNotNull()).withColumn(
-        "_bucket", F.floor(F.col("height") / F.lit(bucket))
-    )
-    return bucketed.join(
-        cut,
-        (bucketed["_bucket"] == cut["_bucket"])
-        & bucketed["height"].between(cut["_low"], cut["_high"]),
-        "left_semi",
-    ).drop("_bucket")
+    cells = range_cells(ranges)
+    at = F.expr("CAST(height & 63 AS INT)")
+    placed = raw.where(F.col("height").isNotNull()).withColumn("_cell", F.shiftright(F.col("height").cast("bigint"), _CELL_BITS))
+    inside = F.expr("shiftrightunsigned(_bits, _at) & 1L") == 1
+    return placed.withColumn("_at", at).join(cells, "_cell").where(inside).select(*raw.columns)
 
 
 # ---- competing blocks --------------------------------------------------------------------
@@ -228,13 +230,22 @@ def block_standing(blocks: DataFrame, transactions: DataFrame) -> DataFrame:
     )
 
 
+def rival_blocks(blocks: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Blocks at heights that have more than one: hash, height, latest time."""
+    each = _in_bounds(blocks, start, end).groupBy("hash", "height").agg(F.max("time").alias("time"))
+    several = each.groupBy("height").agg(F.count("*").alias("_n")).where("_n > 1")
+    return each.join(several, "height", "left_semi").select("hash", "height", "time")
+
+
 def kept_blocks(
     blocks: DataFrame, transactions: DataFrame, start: int | None = None, end: int | None = None
 ) -> DataFrame:
     """The block to keep for every duplicate height: most transactions, then latest time,
     then largest hash. The choice is a maximum over a struct, so a height with very many
-    blocks is reduced before the shuffle."""
-    standing = block_standing(_in_bounds(blocks, start, end), transactions)
+    blocks is reduced before the shuffle. Only transactions of blocks that have a rival are counted."""
+    rivals = rival_blocks(blocks, start, end)
+    theirs = transactions.join(rivals.select(F.col("hash").alias("block_hash")), "block_hash", "left_semi")
+    standing = block_standing(rivals, theirs)
     best = F.max(F.struct("transactions", "time", "hash"))
     return (
         standing.groupBy("height")
@@ -249,10 +260,13 @@ def kept_blocks(
 
 
 def losing_blocks(
-    blocks: DataFrame, transactions: DataFrame, start: int | None = None, end: int | None = None
+    blocks: DataFrame, transactions: DataFrame | None = None, start: int | None = None, end: int | None = None,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
-    """Hashes of the blocks that lose against another one at their height."""
-    kept = kept_blocks(blocks, transactions, start, end)
+    """Hashes of the blocks that lose against another one at their height. ``kept``, if the blocks to keep are
+    known already, saves finding them again."""
+    if kept is None:
+        kept = kept_blocks(blocks, transactions, start, end)
     return (
         _in_bounds(blocks, start, end)
         .select("hash", "height")

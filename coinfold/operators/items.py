@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coinfold.functions.addresses import address_list
-from coinfold.functions.amounts import decimal_text, exact_decimal, exact_sum, fraction_digits
+from coinfold.functions.amounts import amount, is_amount, total_text
 from coinfold.functions.scripts import disassemble, op_return_payload
 from coinfold.functions.truth import first_filled, nonempty, truthy
 from coinfold.schemas import BLOCK_ITEM, TX_ITEM
@@ -132,48 +132,34 @@ def transaction_items(raw: DataFrame) -> DataFrame:
         F.transform(F.filter(vouts, lambda v: v.isNotNull()), _output).alias("outputs"),
         F.exists(vins, lambda v: v.isNull()).alias("_malformed"),
     )
-    paid_in = F.transform("inputs", lambda i: exact_decimal(i["value"]))
     shown = F.filter(
         F.col("outputs"),
         lambda o: ~_hidden(o["confidential_value"], o["asset_commitment"], o["value"]),
     )
-    totals = shaped.select(
+    # Each amount is read once; what follows works on what was read.
+    amounts = shaped.select(
         "*",
-        F.when(
-            (F.size("inputs") > 0)
-            & ~F.coalesce(F.col("_minted"), F.lit(False))
-            & ~F.coalesce(F.col("_malformed"), F.lit(False))
-            & F.forall(paid_in, lambda v: v.isNotNull()),
-            exact_sum(paid_in),
-        ).alias("_in"),
-        F.array_max(F.transform("inputs", lambda i: fraction_digits(i["value"]))).alias("_in_d"),
-        exact_sum(F.transform(shown, lambda o: exact_decimal(o["value"]))).alias("_out"),
-        F.coalesce(
-            F.array_max(
-                F.transform(
-                    shown,
-                    lambda o: F.when(
-                        exact_decimal(o["value"]).isNotNull(), fraction_digits(o["value"])
-                    ).otherwise(0),
-                )
-            ),
-            F.lit(0),
-        ).alias("_out_d"),
-        (F.size(shown) == F.size("outputs")).alias("_open"),
+        F.transform("inputs", lambda i: amount(i["value"])).alias("_paid"),
+        F.transform(shown, lambda o: amount(o["value"])).alias("_given"),
     )
-    fee = F.when(
-        F.col("_open"),
-        decimal_text(F.try_subtract("_in", "_out"), F.greatest("_in_d", "_out_d")),
+    known = (
+        (F.size("_paid") > 0)
+        & ~F.coalesce(F.col("_minted"), F.lit(False))
+        & ~F.coalesce(F.col("_malformed"), F.lit(False))
+        & F.forall("_paid", is_amount)
     )
+    totals = amounts.withColumn("_known", known)
+    paid, given = F.col("_paid"), F.col("_given")
+    open_ = F.col("_known") & (F.size("_given") == F.size("outputs"))
     made = {name: tx[source] for name, source in TX_FIELDS.items()}
     made |= {
         "hash": F.coalesce(nonempty(tx["txid"]), tx["hash"]),
         "is_coinbase": F.coalesce(F.col("_minted"), F.lit(False)),
         "input_count": F.size("inputs"),
         "output_count": F.size("outputs"),
-        "input_value": decimal_text(F.col("_in"), F.col("_in_d")),
-        "output_value": decimal_text(F.col("_out"), F.col("_out_d")),
-        "fee": fee,
+        "input_value": F.when(F.col("_known"), total_text(paid)),
+        "output_value": total_text(given),
+        "fee": F.when(open_, total_text(paid, given)),
     }
     return totals.select(
         *[

@@ -14,13 +14,16 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
+from decimal import Context, Decimal
+from fractions import Fraction
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coinfold.functions.amounts import EXACT, exact_decimal, sort_key
+from coinfold.functions.amounts import exact_decimal, sort_key
+from coinfold.sources.csv import CSV, read_csv
 
 # Names of the operators and texts that count as true.
 COMPARISONS = ("lt", "le", "gt", "ge")
@@ -29,6 +32,7 @@ OPERATORS = (
 )
 TRUE_TEXTS = ("1", "true", "t", "yes", "y")
 _NUMERIC = (T.IntegralType, T.DecimalType)
+_WIDE = Context(prec=80)
 
 
 class PredicateError(ValueError):
@@ -67,18 +71,10 @@ def filter_lines(lines: DataFrame, predicate, column: str = "value") -> DataFram
     return parsed.where(node).drop("_document")
 
 
-# Quotes are doubled inside quoted fields, which may hold line breaks; blanks are kept.
-_CSV = {
-    "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
-
-
 def filter_csv(spark: SparkSession, source: str, target: str, predicate) -> None:
     """Filter CSV with a header. All values are text, an empty field is the empty text."""
-    rows = spark.read.options(**_CSV, multiLine="true").csv(source).fillna("")
-    kept = where(rows, predicate)
-    kept.write.mode("overwrite").options(**_CSV, emptyValue="").csv(target)
+    kept = where(read_csv(spark, source), predicate)
+    kept.write.mode("overwrite").options(**CSV, emptyValue="").csv(target)
 
 
 # ---- structure ---------------------------------------------------------------------------
@@ -260,7 +256,7 @@ def _equal(value: Value, literal: Any) -> Column:
     if number is None:
         return _text(value) == _literal_text(literal)
     if isinstance(value.dtype, _NUMERIC):
-        return value.column == number
+        return _against(value, "eq", literal)
     by_text = _text(value) == _literal_text(literal)
     return _by_number(value, literal, number, lambda a, b: a == b, by_text)
 
@@ -271,10 +267,46 @@ def _compare(value: Value, op: str, literal: Any) -> Column:
     if number is None:
         return by_text
     if isinstance(value.dtype, _NUMERIC):
-        return _ordered(value.column, op, number)
+        return _against(value, op, literal)
     return _by_number(value, literal, number, lambda a, b: _ordered(a, op, b), by_text)
 
 
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _against(value: Value, op: str, literal: Any) -> Column:
+    """An integer or decimal column against any number, as a bare comparison with a value of the column's
+    own type, which the scan can use. Between two values of the column, the lower one is compared
+    with; beyond its range the answer is the same for all that is there."""
+    number = Decimal(str(literal).strip())
+    if isinstance(value.dtype, T.DecimalType):
+        scale = value.dtype.scale
+        most = 10**value.dtype.precision - 1
+        least = -most
+    else:
+        scale, most = 0, 2 ** (_BITS[type(value.dtype)] - 1) - 1
+        least = -most - 1
+    power = number.adjusted() + scale if number else 0
+    if power > 40:
+        at, exact = (least - 1 if number < 0 else most + 1), False
+    elif power < -1:
+        at, exact = (-1 if number < 0 else 0), False
+    else:
+        units = Fraction(number) * 10**scale
+        at = units.numerator // units.denominator
+        exact = at == units
+    if at < least or at > most:
+        above = op in ("lt", "le") if at > most else op in ("gt", "ge")
+        return F.when(value.column.isNotNull(), F.lit(above))
+    if not exact:
+        if op == "eq":
+            return F.when(value.column.isNotNull(), F.lit(False))
+        op = {"lt": "le", "ge": "gt"}.get(op, op)
+    kind = value.dtype.simpleString()
+    bound = F.lit(at if scale == 0 and abs(at) < 2**63 else str(Decimal(at).scaleb(-scale, _WIDE))).cast(kind)
+    return value.column == bound if op == "eq" else _ordered(value.column, op, bound)
+
+
 def _by_number(value: Value, literal: Any, number: Column, test, by_text: Column) -> Column:
     """``test`` on the numbers: as exact decimals where both fit, else by their sort keys."""
     exact = _number(value)
@@ -333,6 +365,6 @@ def _literal_number(literal: Any) -> Column | None:
     text = str(literal).strip()
     if re.fullmatch(r"[+-]?\d{1,18}", text):
         return F.lit(int(text))
-    if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", text):
+    if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,17})?", text):
         return exact_decimal(F.lit(text))
     return None

@@ -110,6 +110,29 @@ def filter_order(spark, sf):
     )
 
 
+@query(
+    "Q2 Q3 Q6",
+    _SEEN + "SELECT id, height FROM seen WHERE height > 3000 AND height < 30000 AND NOT (height IN (4000, 4001))"
+    " AND l_linenumber >= 2 AND l_linenumber <> 3 AND l_quantity > 12",
+)
+def filter_far_numbers_on_integers(spark, sf):
+    """Integer, decimal and double columns against numbers beyond their range and between their values."""
+    wide = _seen(spark, sf).withColumns(
+        {"small": F.col("l_linenumber").cast("tinyint"), "fixed": F.col("l_quantity").cast("decimal(6,2)")}
+    )
+    leaf = lambda field, op, value: {"field": field, "op": op, "value": value}
+    tests = [
+        leaf("height", "lt", 1e30), leaf("height", "gt", -1e30), leaf("height", "ne", 1e30),
+        leaf("height", "lt", 10**25), leaf("height", "gt", "1e-25"), leaf("height", "gt", "3000.5"),
+        leaf("height", "le", "29999.999"), {"not": leaf("height", "in", ["4000.0", 4001, 1e25, "1e-25", "4002.5"])},
+        {"not": leaf("height", "ge", "9223372036854775808")}, {"not": leaf("height", "eq", "1e99999999999")},
+        leaf("small", "gt", "1.0000000000000000000000001"), leaf("small", "lt", 300), leaf("small", "ne", "3.00"),
+        {"not": leaf("small", "lt", -129)}, leaf("fixed", "gt", "12.0000001"), leaf("fixed", "lt", "1e400"),
+        {"not": leaf("fixed", "eq", "13.005")}, leaf("l_quantity", "gt", "1e-400"), {"not": leaf("l_quantity", "ge", "1e400")},
+    ]
+    return predicates.where(wide, {"and": tests}).select("id", "height")
+
+
 @query(
     "Q4 Q5",
     _SEEN + _PICK + "contains(value, '99') AND starts_with(payload, '0000')"

@@ -15,7 +15,7 @@ from coinfold.plans.catalog import (
 )
 from coinfold.plans.ingest import ingest_raw, load_flat, load_items
 from coinfold.plans.repair import repair
-from coinfold.schemas import FLAT_TRANSACTIONS, TXOUTS
+from coinfold.schemas import FLAT_TRANSACTIONS, TABLE_KEYS, TABLES, TXOUTS
 from coinfold.session import shared_dir
 from coinfold.sources import items as item_source
 from coinfold.sources.raw import (
@@ -24,7 +24,14 @@ from coinfold.sources.raw import (
     raw_block_stream,
     read_raw_blocks,
 )
-from coinfold.sources.tables import Ledger, one_per_key, read_table, write_keyed
+from coinfold.sources.tables import (
+    CHILDREN_FIRST,
+    Batch,
+    Ledger,
+    one_per_key,
+    read_table,
+    write_keyed,
+)
 from coinfold.streaming.backfill import run as backfill_and_follow
 from coinfold.streaming.follow import Follow, catch_up, run_follow
 
@@ -331,6 +338,33 @@ def ingested_tables(spark, sf):
     )
 
 
+@query("S12 S9 T4", with_views(CHAIN) + _TABLES.format(where="WHERE o_orderstatus <> 'P'"))
+def restarted_after_break(spark, sf):
+    """Two batches over the same buckets; the second breaks off after each of its steps and is run again.
+    What is read between is the first batch, whole; a third one is never committed."""
+    ledger = Ledger(spark, shared_dir(spark, "ledger"), bucket_size=5_000)
+    orders = _orders(spark, sf)
+    part = lambda test: rows.bulk_rows(parse_raw_blocks(chain_text(orders.where(test))), "main")
+    ledger.write(part("o_orderstatus = 'F'"), batch_id="first")
+    counts = lambda: {name: t.count() for name, t in ledger.tables().items()}
+    before, second = counts(), part("o_orderstatus = 'O'")
+    for steps in range(1, 4):
+        broken = Batch(ledger.versions, "second")
+        for name in CHILDREN_FIRST[:steps]:
+            write_keyed(
+                spark, ledger.path(name), TABLES[name], second[name], TABLE_KEYS[name],
+                "height" if name == "blocks" else "block_height", batch=broken,
+            )
+        if counts() != before:
+            raise AssertionError("a batch that was not committed is read")
+    ledger.write(second, batch_id="second")
+    never = Batch(ledger.versions, "third")
+    never.merge("blocks", TABLES["blocks"], ledger.table("blocks").limit(0), ("hash",), "update")
+    ledger.clean(keep=1)
+    known = {r.batch_id for r in ledger.committed().collect()}
+    return _content(ledger).where(F.lit(known == {"first", "second"}))
+
+
 @query("S13 P7 P8", with_views(CHAIN) + _TABLES.format(where=""))
 def loaded_item_files(spark, sf):
     raw = parse_raw_blocks(chain_text(_orders(spark, sf)))

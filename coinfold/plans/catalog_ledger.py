@@ -364,9 +364,7 @@ def blocks_of_missing_heights(spark, sf):
     everything = minute_blocks(spark, sf)
     table = everything.where(F.col("user_id") < 100)
     gaps = heights.missing_ranges(table, bucket=SMALL_BUCKET)
-    return heights.blocks_in_ranges(everything, gaps, SMALL_BUCKET).select(
-        "hash", "height", "time"
-    )
+    return heights.blocks_in_ranges(everything, gaps).select("hash", "height", "time")
 
 
 @query(

@@ -18,6 +18,7 @@ from coinfold.operators.audit import (
 from coinfold.plans import ledger_view as view
 from coinfold.plans.catalog import LINE, OUT, TX, query, with_views
 from coinfold.schemas import BLOCKS, OBSOLETE, TRANSACTIONS, TXOUTS
+from coinfold.sources.raw import parse_raw_blocks
 
 NETWORK = "main"
 
@@ -737,3 +738,42 @@ def field_check_results(spark, sf):
 def field_check_score(spark, sf):
     lines = view.with_line_columns(view.table(spark, sf, "lineitem"))
     return checks.score(checks.check_results(lines, _check_list()))
+
+
+_WIDE = "10000000000000000000000000"
+
+
+@query(
+    "A5 A6 A7 P3",
+    f"""WITH given AS (
+      SELECT l_orderkey, sum(CAST(1000000000000000000000000 + l_partkey AS HUGEINT)) AS whole,
+        sum(CAST(1000000000000000000000000 + l_suppkey AS HUGEINT)) AS parts,
+        sum(CAST(l_linenumber AS HUGEINT)) AS more, CAST(count(*) AS HUGEINT) AS n
+      FROM lineitem GROUP BY l_orderkey),
+    paid AS (SELECT *, more * {_WIDE}::HUGEINT + n - parts AS fee FROM given)
+    SELECT md5(CAST(l_orderkey AS VARCHAR)) AS txid,
+      CAST(whole + more AS VARCHAR) || '.' || lpad(CAST(n AS VARCHAR), 25, '0') AS input_value,
+      CAST(whole + parts // {_WIDE}::HUGEINT AS VARCHAR) || '.'
+        || lpad(CAST(parts % {_WIDE}::HUGEINT AS VARCHAR), 25, '0') AS output_value,
+      CAST(fee // {_WIDE}::HUGEINT AS VARCHAR) || '.'
+        || lpad(CAST(fee % {_WIDE}::HUGEINT AS VARCHAR), 25, '0') AS fee
+    FROM paid""",
+)
+def totals_of_any_size(spark, sf):
+    """Amounts of 25 whole and 25 fraction digits, beyond every decimal type: totals and fees keep them all."""
+    lines = view.table(spark, sf, "lineitem")
+    digits = lambda column: f"concat('1', lpad(CAST({column} AS STRING), 24, '0'))"
+    given = lines.selectExpr(
+        "l_orderkey", "l_linenumber",
+        f"concat({digits('l_partkey')}, '.', {digits('l_suppkey')}) AS value",
+        f"concat({digits('l_partkey + l_linenumber')}, '.', lpad('1', 25, '0')) AS paid",
+    )
+    transactions = given.groupBy("l_orderkey").agg(
+        F.collect_list(F.expr("named_struct('txid', 'p', 'vout', 0, 'prevout', named_struct('value', paid))")).alias("vin"),
+        F.collect_list(F.expr("named_struct('n', l_linenumber, 'value', value)")).alias("vout"),
+    )
+    text = transactions.selectExpr(
+        """to_json(named_struct('hash', md5(concat('b', l_orderkey)), 'height', l_orderkey,
+          'tx', array(named_struct('txid', md5(CAST(l_orderkey AS STRING)), 'vin', vin, 'vout', vout)))) AS value"""
+    )
+    return items.transaction_items(parse_raw_blocks(text)).select("txid", "input_value", "output_value", "fee")

@@ -115,14 +115,18 @@ def _with_corrupt() -> T.StructType:
 
 def _quoted(text: str) -> str:
     """SQL that turns fractional number tokens into text tokens, except for the fields that
-    are doubles."""
-    doubles = "".join(f'(?<!"{name}")' for name in ("vsize", "discountvsize", "difficulty"))
+    are doubles.
+
+    The text is read once from left to right, in whole text tokens, so nothing is looked for behind a
+    place: a name with such a number behind it is one match, any other text token one that stays as it is.
+    """
+    inside = r'(?:[^"\\]++|\\.)*+'
     number = r"-?[0-9]+(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)"
-    # A quote behind an odd number of backslashes is part of a text and ends no name.
-    escaped = r'(?<!(?<!\\)(?:\\\\){0,99}\\")'
-    # Starts with plain characters and looks back only in front of a number.
-    pattern = r'"(?=\s*:\s*-?[0-9])' + escaped + doubles + r"(\s*:\s*)(" + number + r")(?=\s*[,}\]])"
-    return f"""regexp_replace({text}, r'{pattern}', '"$1"$2"')"""
+    doubles = '(?!(?:vsize|discountvsize|difficulty)")'
+    # The first group is a quote: it is there only where a number was found, and is set around it.
+    named = rf'(")({doubles}{inside})"(\s*+:\s*+)({number})(?=\s*[,}}\]])'
+    other = f'("{inside}")'
+    return f"regexp_replace({text}, r'(?s){named}|{other}', '$1$2$1$3$1$4$1$5')"
 
 
 def _shape(value: str, dtype: T.StructType) -> str:

@@ -31,12 +31,81 @@ def test_base_units_of_edge_values(spark):
     values = [
         None, "true", "0.00000001", "1.00000000", "1.5", "1", "0", "0.1", "2.0", "0.000000005",
         "1.999999999", "21000000", "nan", "inf", "x", "", "1e-8", "1E-19", "-0.5", " 3 ", ".5",
-        "5.", "92233720368.54775807", "92233720368.54775808", "0.1" + "0" * 30, "1e3",
+        "5.", "92233720368.54775807", "0.1" + "0" * 30, "1e3", "1e-99999", "0e99999999999",
+        "0" * 40 + "7", "12345678901234567890.123456789", "-92233720368.54775807",
     ]
     got = one_column(spark, values, to_base_units(F.col("v")))
     assert got == [(units(v),) for v in values]
 
 
+@pytest.mark.parametrize("value", ["92233720368.54775808", "100000000000", "1e30", "-1e12", "1e99999999999", "9" * 45])
+def test_base_units_beyond_bigint_are_loud(spark, value):
+    with pytest.raises(Exception, match="beyond bigint"):
+        one_column(spark, [value], to_base_units(F.col("v")))
+
+
+def written(values, signs):
+    """Exact total as text, with the most digits behind the point that an operand was written with."""
+    total, digits = 0, 0
+    numbers = []
+    for value, sign in zip(values, signs, strict=True):
+        try:
+            number = Decimal(value)
+        except (InvalidOperation, TypeError):
+            continue
+        if number.is_finite():
+            digits = max(digits, -number.as_tuple().exponent)
+            numbers.append((number, sign))
+    for number, sign in numbers:
+        part = number.as_tuple()
+        total += sign * (-1 if part.sign else 1) * int("".join(map(str, part.digits))) * 10 ** (part.exponent + digits)
+    text = str(abs(total)).rjust(digits + 1, "0")
+    text = f"{text[:-digits]}.{text[-digits:]}" if digits else text
+    return f"-{text}" if total < 0 else text
+
+
+def totals(spark, rows):
+    from coinfold.functions.amounts import amount, total_text
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a array<string>, b array<string>")
+    some = lambda c: F.transform(c, amount)
+    out = df.orderBy("i").select(total_text(some("a")).alias("x"), total_text(some("a"), some("b")).alias("y"))
+    return [tuple(r) for r in out.collect()]
+
+
+def test_totals_of_any_size(spark):
+    rnd = random.Random(9)
+
+    def number():
+        whole, fraction = (rnd.randrange(10 ** rnd.choice([1, 3, 9, 20, 25, 40])) for _ in range(2))
+        return rnd.choice(["", "", "-"]) + rnd.choice([f"{whole}", f"{whole}.{fraction}", f"0.{fraction:060d}", f"{whole}e{rnd.randrange(-30, 30)}"])
+
+    fixed = [
+        (["2.0000000000000000001", "1.0"], []), (["1.0", "x", None, "2.50"], ["0.5"]), ([], []), (["nan"], ["1"]),
+        (["0.1" + "0" * 30], []), (["1" * 25 + "." + "2" * 25, "8" * 25 + "." + "7" * 25], ["1.5"]),
+        (["99999999999999999999.999999999999999999"] * 3, ["0.000000000000000001"]), (["-0.0"], []), (["1e400", "-1e400"], []),
+        (["1"], ["1e25"]), (["999999999", "1"], ["1e9"]), (["1e-30"], ["1"]),
+    ]
+    rows = fixed + [([number() for _ in range(rnd.randrange(5))], [number() for _ in range(rnd.randrange(4))]) for _ in range(150)]
+    want = [(written(a, [1] * len(a)), written(a + b, [1] * len(a) + [-1] * len(b))) for a, b in rows]
+    assert totals(spark, rows) == want
+
+
+def test_totals_of_too_many_digits_are_loud(spark):
+    with pytest.raises(Exception, match="too many digits"):
+        totals(spark, [(["1e999999"], [])])
+
+
+def test_sort_keys_of_far_exponents(spark):
+    from coinfold.functions.amounts import sort_key
+
+    values = ["-1e99999999999", "-2", "-1e-99999999999", "0", "1e-99999999999", "2", "1e99999999999", "2e99999999999"]
+    keys = [r[0] for r in one_column(spark, values, sort_key(F.col("v")))]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+    same = [r[0] for r in one_column(spark, ["100", "1e2", "0.1e3", "+100.00"], sort_key(F.col("v")))]
+    assert len(set(same)) == 1
+
+
 def test_base_units_of_random_values(spark):
     rnd = random.Random(3)
     values = [

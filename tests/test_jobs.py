@@ -285,3 +285,91 @@ def test_exports_have_few_files(spark, tmp_path):
     item_source.export_partitions(raw, str(tmp_path / "out"), "side", start=0, end=39, batch_size=20)
     for folder in (tmp_path / "out").rglob("block_end=*"):
         assert len(list(folder.glob("part-*"))) == 1
+
+
+def breaking_after(module, patch, steps):
+    """From here on, the writes of a commit fail after so many of them."""
+    done, write, put = [], module.Versions.write, module.files.put
+
+    def counted(use):
+        def run(*args, **more):
+            if len(done) == steps:
+                raise RuntimeError("lost")
+            done.append(use.__name__)
+            return use(*args, **more)
+
+        return run
+
+    patch.setattr(module.Versions, "write", counted(write))
+    patch.setattr(module.files, "put", counted(put))
+    return done
+
+
+@pytest.mark.parametrize("strategy", ["update", "ignore"])
+def test_a_break_at_any_step_leaves_the_old_state(spark, tmp_path, monkeypatch, strategy):
+    from coinfold.sources import tables as module
+
+    land = lambda name, *blocks: read_raw_blocks(spark, land_file(tmp_path / name, "1.json", *blocks))
+    first, second = land("a", *[chain_block(h) for h in range(6)]), land("b", *[chain_block(h, "0.7") for h in range(3, 9)])
+    ledger = Ledger(spark, str(tmp_path / "ledger"), strategy, bucket_size=4)
+    ingest_raw(first, ledger, "main", batch_id="one")
+    state = lambda: {n: sorted(map(str, t.collect())) for n, t in ledger.tables().items()}
+    before, held, steps = state(), ledger.tables(), 0
+    while True:
+        with monkeypatch.context() as patch:
+            done = breaking_after(module, patch, steps)
+            try:
+                ingest_raw(second, ledger, "main", batch_id="two", land=False)
+            except RuntimeError as error:
+                assert "lost" in str(error)
+                assert state() == before and [r.batch_id for r in ledger.committed().collect()] == ["one"]
+                steps += 1
+                continue
+        break
+    assert steps >= 5 and done[-1] == "put"  # four tables, one commit, rewritten parts
+    after = state()
+    assert len(after["blocks"]) == 9 and sorted(r.batch_id for r in ledger.committed().collect()) == ["one", "two"]
+    values = {r.txid: r.value_sat for r in ledger.table("txouts").collect()}
+    assert values["t4"] == (70_000_000 if strategy == "update" else 50_000_000) and values["t0"] == 50_000_000
+    # plans built before the commit still see what they were built on
+    assert {n: sorted(map(str, t.collect())) for n, t in held.items()} == before
+    left = ledger.clean(keep=1)
+    assert left > 0 and state() == after and ledger.clean(keep=1) == 0
+    assert sorted(r.batch_id for r in ledger.committed().collect()) == ["one", "two"]
+
+
+def test_two_writers_do_not_lose_a_batch(spark, tmp_path):
+    from coinfold.sources.files import AlreadyThere
+    from coinfold.sources.tables import Batch, Versions
+
+    path = str(tmp_path / "t")
+    put(spark, path, [("a", 0, "x", 1)])
+    slow = Batch(Versions(spark, path))
+    put(spark, path, [("b", 0, "y", 1)])
+    with pytest.raises(AlreadyThere):
+        slow.commit()
+    assert [r[0] for r in stored(spark, path)] == ["a", "b"]
+
+
+def test_many_small_parts_become_one(spark, tmp_path, monkeypatch):
+    from coinfold.sources import tables as module
+
+    monkeypatch.setattr(module, "MOST_PARTS", 3)
+    path = str(tmp_path / "t")
+    for n in range(6):
+        put(spark, path, [(f"k{n}", 0, "x", 1), (f"k{n}", 1, "x", 25)])
+    live = module.Versions(spark, path).current()["tables"][""]
+    assert len(stored(spark, path)) == 12 and max(map(len, live.values())) <= 3
+
+
+def test_only_parts_with_known_keys_are_rewritten(spark, tmp_path):
+    from coinfold.sources.tables import Versions
+
+    path = str(tmp_path / "t")
+    for n in range(3):
+        put(spark, path, [(f"k{n}", 0, "x", 10 * n)])
+    before = Versions(spark, path).current()["tables"][""]
+    put(spark, path, [("k1", 0, "new", 10)])
+    after = Versions(spark, path).current()["tables"][""]
+    assert (after[0], after[2]) == (before[0], before[2]) and not set(after[1]) & set(before[1])
+    assert stored(spark, path) == [("k0", 0, "x", 0), ("k1", 0, "new", 1), ("k2", 0, "x", 2)]

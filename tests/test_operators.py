@@ -159,6 +159,39 @@ def test_numbers_reach_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(id,3)" in pushed and "EqualTo(s,a)" in pushed
 
 
+FAR = ["1e30", "-1e30", 10**25, -(10**25), "1e-25", "-1e-25", 5, "5.0", 4.5, "5.5", -7, "-7.25", 127, 128, -128, -129,
+       "9223372036854775807", "9223372036854775808", "-9223372036854775809", "1e99999999999", "0", "-0.0", 99.99, "99.995", 100]
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "decimal(4,2)", "decimal(38,0)", "decimal(38,18)", "double", "string"])
+def test_numbers_of_any_type_against_any_number(spark, kind):
+    """Every comparison, also below ``not``, against exact arithmetic; a missing value satisfies none."""
+    values = [5, -7, 0, 99, None]
+    df = spark.createDataFrame([(v,) for v in values], "v int").selectExpr(f"CAST(v AS {kind}) AS v")
+    tests = {
+        "eq": lambda a, b: a == b, "ne": lambda a, b: a != b, "lt": lambda a, b: a < b, "le": lambda a, b: a <= b,
+        "gt": lambda a, b: a > b, "ge": lambda a, b: a >= b,
+    }
+    flags, want = [], []
+    for literal in FAR:
+        for op, test in tests.items():
+            flags += [predicates.matches(df, leaf("v", op, literal)), predicates.matches(df, {"not": leaf("v", op, literal)})]
+            found = [v is not None and test(Decimal(v), Decimal(str(literal))) for v in values]
+            want += [found, [not f for f in found]]
+    columns = [f"c{i}" for i in range(len(flags))]
+    rows = df.select("v", *[f.alias(c) for f, c in zip(flags, columns, strict=True)]).collect()
+    got = {None if r.v is None else int(float(r.v)): [r[c] for c in columns] for r in rows}
+    for k, v in enumerate(values):
+        assert got[v] == [w[k] for w in want], v
+
+
+def test_comparisons_of_integers_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "n")
+    spark.range(10).write.parquet(path)
+    plan = predicates.where(spark.read.parquet(path), leaf("id", "lt", "4.5"))._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(id,4)" in plan
+
+
 @pytest.mark.parametrize(
     "predicate",
     ["no json {", "[1]", {"or": []}, {"and": 3}, leaf("x", "bogus", 1), leaf("", "eq", 1),
@@ -262,12 +295,26 @@ def test_range_reports(spark):
     assert tuple(heights.range_totals(df.limit(0)).first()) == (0, 0)
     assert heights.range_report(df, 1).count() == 1
     blocks = spark.range(20).withColumnRenamed("id", "height")
-    taken = heights.blocks_in_ranges(blocks, df, bucket=2)
+    taken = heights.blocks_in_ranges(blocks, df)
     assert sorted(r.height for r in taken.collect()) == [1, 2, 3, 7]
     whole = heights.repair_ranges(blocks, 9, 4, backfill_present=True)
     assert ranges(whole) == [(4, 9)]
 
 
+def test_blocks_in_ranges_of_any_size(spark):
+    """Ranges within, at and across the bounds of cells, next to each other, and very long ones."""
+    rnd = random.Random(4)
+    starts = sorted(rnd.sample(range(2_000), 60))
+    some = [(a, rnd.randint(a, b - 1)) for a, b in zip(starts, [*starts[1:], 2_300])] + [(2_304, 2_367), (2_368, 2_368), (5_000, 900_000)]
+    blocks = spark.createDataFrame([(h, f"b{h}") for h in [*range(2_500), 4_999, 5_000, 899_999, 900_000, 900_001]] + [(None, "x")], "height bigint, hash string")
+    taken = heights.blocks_in_ranges(blocks, spark.createDataFrame(some, heights.GAPS))
+    assert taken.columns == ["height", "hash"]
+    want = [r.height for r in blocks.collect() if r.height is not None and any(a <= r.height <= b for a, b in some)]
+    assert sorted(r.height for r in taken.collect()) == want
+    plan = taken._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= start" not in plan and "<= end" not in plan
+
+
 def test_kept_block_order(spark):
     blocks = spark.createDataFrame(
         [("a", 1, 5), ("b", 1, 9), ("c", 2, None), ("d", 2, 1), ("e", 3, 7), ("f", 3, 7),

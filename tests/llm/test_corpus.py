@@ -164,3 +164,31 @@ def test_writing_shards_deals_nothing_by_id(spark, documents, tmp_path, monkeypa
     assert dealt and "doc_id" not in dealt
     back = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out"))
     assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)
+
+
+def test_the_quicker_library_gives_the_tokenizers_ids():
+    """For every code point of the first planes that hold letters, in several settings, and for texts of odd shape."""
+    encoder = Encoder("byte_bpe_50k.json")
+    assert encoder.quick is not None
+    texts = []
+    for low in [*range(0, 0x3000, 512), 0xA700, 0xFE00, 0xFF00, 0x1F300, 0x1F900, 0x20000]:
+        points = (chr(c) for c in range(low, low + 512) if not 0xD800 <= c < 0xE000)
+        texts.append("".join(f"a{c}b {c}1 {c}! {c}{c} \n'{c}s" for c in points))
+    texts += ["", " ", "\n\n x", "x" * 50_000, " " * 50_000, "ab1!" * 9_000, "It's we'll I'D 'tis", "a <|endoftext|> b", "\x00\x01"]
+    for text in texts:
+        assert encoder.ids(text) == encoder.whole(text)
+
+
+def test_other_tokenizers_are_used_as_they_are(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    assert Encoder("word_bpe_49k.json").quick is None
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        model = json.load(file)
+    model["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(model))
+    other = Encoder(str(path))
+    assert other.quick is None and other.ids("word") == other.whole(" word")

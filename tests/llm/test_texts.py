@@ -181,3 +181,26 @@ def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {(r.score, r.predicted) for r in toxicity(docs, none).collect()} == {(0.5, 1)}
     assert toxicity(docs.where("false"), none).collect() == []
+
+
+def test_columns_of_any_name_survive_redaction(spark):
+    key = "password = 'Zx81kQpLmN'"
+    docs = spark.createDataFrame([(1, key, "mine", key), (2, None, None, "x")], "doc_id long, text string, `__text` string, searched string")
+    rows = {r.doc_id: r for r in redacted(docs).collect()}
+    assert redacted(docs).schema == docs.schema
+    assert "Zx81kQpLmN" not in rows[1].text and (rows[1]["__text"], rows[1].searched) == ("mine", key)
+    assert (rows[2].text, rows[2]["__text"], rows[2].searched) == (None, None, "x")
+    assert redacted(docs.limit(0)).collect() == []
+
+
+def test_many_starts_of_a_token_are_read_once():
+    import time
+
+    scanner = Scanner(MORE_RULES)
+    token = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4"
+    text = "eyJ" * 300_000 + " " + token
+    data = np.frombuffer(text.encode(), np.uint8)
+    began = time.process_time()
+    found = scanner.spans(data, np.array([0, len(data)]))
+    assert time.process_time() - began < 20
+    assert [s[0] for s in found[0] if MORE_RULES[s[1]].kind == "web_token"] == [900_001]

@@ -46,14 +46,17 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Found:
-    """The best of each query so far, as flat rows, with the score the k-th cannot fall below."""
+    """The best of each query so far, as flat rows, with the score the k-th cannot fall below.
 
-    def __init__(self, ids: np.ndarray, floor: np.ndarray, top: int):
-        self.ids, self.floor, self.top = ids, floor.copy(), top
+    ``own`` is each query's own row, which is no candidate; rows of its id are.
+    """
+
+    def __init__(self, own: np.ndarray, floor: np.ndarray, top: int):
+        self.own, self.floor, self.top = own, floor.copy(), top
         self.rows = [np.zeros(0, np.int64)] * 3
 
-    def add(self, query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> None:
-        good = (score >= self.floor[query]) & (vec != self.ids[query])
+    def add(self, query: np.ndarray, row: np.ndarray, vec: np.ndarray, score: np.ndarray) -> None:
+        good = (score >= self.floor[query]) & (row != self.own[query])
         q, v, s = (np.concatenate([old, new[good]]) for old, new in zip(self.rows, (query, vec, score), strict=True))
         order = np.lexsort((v, -s.astype(np.float64), q)) if len(s) and np.abs(s).max() < _EXACT else np.array(sorted(range(len(q)), key=lambda i: (q[i], -int(s[i]), v[i])), np.int64)
         q, v, s = q[order], v[order], s[order]
@@ -66,25 +69,25 @@ class Found:
 
 
 def search(queries: dict, vectors: dict, floor: np.ndarray, top: int) -> Found:
-    """The best ``top`` of ``vectors`` for each query that reach its floor. Sides have ids, whole, length."""
-    found = Found(queries["ids"], floor, top)
+    """The best ``top`` of ``vectors`` for each query that reach its floor. Sides have rows, ids, whole, length."""
+    found = Found(queries["rows"], floor, top)
     order = np.lexsort((vectors["ids"], -vectors["length"]))
     for at in range(0, len(order), BUCKET):
         bucket = order[at : at + BUCKET]
-        ids, whole, length = (vectors[k][bucket] for k in ("ids", "whole", "length"))
+        rows, ids, whole, length = (vectors[k][bucket] for k in ("rows", "ids", "whole", "length"))
         reach = queries["length"] * length[0]
         with np.errstate(divide="ignore", invalid="ignore"):
             cosine = np.where(reach > 0, found.floor / reach, np.where(found.floor > 0, np.inf, -np.inf))
         live = np.flatnonzero(cosine <= 1 + 1e-9)
         narrow = cosine[live] >= BY_COORDINATE
         if len(broad := live[~narrow]):
-            _by_length(found, queries, broad, ids, whole, length)
+            _by_length(found, queries, broad, rows, ids, whole, length)
         if narrow.any():
-            _by_coordinate(found, queries, live[narrow], cosine, ids, whole, length)
+            _by_coordinate(found, queries, live[narrow], cosine, rows, ids, whole, length)
     return found
 
 
-def _by_length(found: Found, queries: dict, chosen: np.ndarray, ids, whole, length) -> None:
+def _by_length(found: Found, queries: dict, chosen: np.ndarray, rows, ids, whole, length) -> None:
     for at in range(0, len(chosen), 256):
         part = chosen[at : at + 256]
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -95,13 +98,13 @@ def _by_length(found: Found, queries: dict, chosen: np.ndarray, ids, whole, leng
         if end > found.top + 1:  # one row more, as a query may meet itself
             bar = np.maximum(bar, np.partition(scores, end - found.top - 1, axis=1)[:, end - found.top - 1])
         i, j = np.nonzero(scores >= bar[:, None])
-        found.add(part[i], ids[j], scores[i, j])
+        found.add(part[i], rows[j], ids[j], scores[i, j])
 
 
-def _by_coordinate(found: Found, queries: dict, chosen: np.ndarray, cosine: np.ndarray, ids, whole, length) -> None:
+def _by_coordinate(found: Found, queries: dict, chosen: np.ndarray, cosine: np.ndarray, rows, ids, whole, length) -> None:
     unit = whole / np.where(length > 0, length, 1)[:, None]
     sorted_columns: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    q_out, v_out, s_out = [], [], []
+    q_out, r_out, v_out, s_out = [], [], [], []
     for q in chosen:
         own = queries["whole"][q] / queries["length"][q]
         focus = int(np.argmax(np.abs(own)))
@@ -116,20 +119,23 @@ def _by_coordinate(found: Found, queries: dict, chosen: np.ndarray, cosine: np.n
             scores = products(queries["whole"][q : q + 1], whole[near])[0]
             good = scores >= found.floor[q]
             q_out.append(np.full(int(good.sum()), q))
+            r_out.append(rows[near[good]])
             v_out.append(ids[near[good]])
             s_out.append(scores[good])
     if q_out:
-        found.add(np.concatenate(q_out), np.concatenate(v_out), np.concatenate(s_out))
+        found.add(*map(np.concatenate, (q_out, r_out, v_out, s_out)))
 
 
 def _side(rows: pa.Table) -> dict:
     whole = integer_parts(list_matrix(rows.column("vector")))
-    return {"ids": rows.column("vec_id").to_numpy(), "whole": whole, "length": np.sqrt((whole * whole).sum(axis=1))}
+    names = {"rows": rows.column("row").to_numpy(), "ids": rows.column("vec_id").to_numpy()}
+    return names | {"whole": whole, "length": np.sqrt((whole * whole).sum(axis=1))}
 
 
-def _result(found: Found) -> pa.Table | None:
+def _result(found: Found, queries: dict) -> pa.Table | None:
     q, v, s = found.rows
-    return pa.table({"query_id": found.ids[q], "vec_id": v, "score": s}) if len(q) else None
+    named = {"query_row": queries["rows"][q], "query_id": queries["ids"][q]}
+    return pa.table(named | {"vec_id": v, "score": s}) if len(q) else None
 
 
 _NONE = np.iinfo(np.int64).min
@@ -140,7 +146,7 @@ def _own_shelf(top: int, every: int):
         vectors = _side(rows)
         asks = vectors["ids"] % every == 0
         queries = {k: v[asks] for k, v in vectors.items()}
-        return _result(search(queries, vectors, np.full(int(asks.sum()), _NONE), top))
+        return _result(search(queries, vectors, np.full(int(asks.sum()), _NONE), top), queries)
 
     return work
 
@@ -151,8 +157,8 @@ def _other_shelf(top: int):
         queries = rows.filter(asks)
         if not queries.num_rows or queries.num_rows == rows.num_rows:
             return None
-        floor = queries.column("floor").to_numpy()
-        return _result(search(_side(queries), _side(rows.filter(pa.compute.invert(asks))), floor, top))
+        floor, queries = queries.column("floor").to_numpy(), _side(queries)
+        return _result(search(queries, _side(rows.filter(pa.compute.invert(asks))), floor, top), queries)
 
     return work
 
@@ -162,35 +168,35 @@ def top_products(rows: DataFrame, top: int = TOP, every: int = EVERY) -> DataFra
     highest inner product of integer parts, floor(64 x); ties go to the smaller id.
 
     Defined cases: vectors that are null or hold null or non-finite components take no part, nor do rows
-    without id. Vectors are compared with those of as many components. Of rows that repeat an id the
-    one with the least vector counts. A query with fewer others gets them all. Scores beyond the range of
+    without id. Vectors are compared with those of as many components. Rows that repeat an id are
+    candidates each, for each other too, and queries each. A query with fewer others gets them all. Scores beyond the range of
     long stop at its ends. An empty table gives no rows. Other columns are ignored.
     """
     spark = rows.sparkSession
     vector = F.col("embedding").cast("array<double>")
     finite = F.coalesce(F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
     usable = rows.where(F.col("vec_id").isNotNull() & finite).select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector"))
-    single = usable.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + F.pow(F.floor(x * SCALE), F.lit(2)))
-    single = staged(single.select("vec_id", "vector", F.size("vector").alias("dim"), F.sqrt(square).alias("length")), "vectors")
+    single = usable.withColumn("row", F.monotonically_increasing_id())
+    single = staged(single.select("row", "vec_id", "vector", F.size("vector").alias("dim"), F.sqrt(square).alias("length")), "vectors")
     total, asking = single.agg(F.count("*"), F.coalesce(F.count_if(F.col("vec_id") % every == 0), F.lit(0))).first()
     shelves, blocks = max(1, -(-total // SHELF)), max(1, -(-asking // BLOCK))
 
     # a shelf is a range of the order by length; the id after it parts ties
-    ranged = single.repartitionByRange(shelves, "dim", F.desc("length"), "vec_id")
+    ranged = single.repartitionByRange(shelves, "dim", F.desc("length"), "vec_id", "row")
     # a shelf with vectors of two sizes counts as two
     shelved = staged(ranged.withColumn("shelf", F.spark_partition_id().cast("long") * 65536 + F.col("dim")), "shelves")
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shape = "query_id long, vec_id long, score long"
+    shape = "query_row long, query_id long, vec_id long, score long"
     spread = lambda df, key: df.repartition(n, key).sortWithinPartitions(key)
     own = staged(spread(shelved, "shelf").mapInArrow(each_run("shelf", _own_shelf(top, every)), shape), "own-shelf")
-    floors = own.groupBy("query_id").agg(F.count("*").alias("have"), F.min("score").alias("worst"))
-    floors = floors.select("query_id", F.when(F.col("have") >= top, F.col("worst")).alias("worst"))
+    floors = own.groupBy("query_row").agg(F.count("*").alias("have"), F.min("score").alias("worst"))
+    floors = floors.select("query_row", F.when(F.col("have") >= top, F.col("worst")).alias("worst"))
     queries = (
         shelved.where(F.col("vec_id") % every == 0)
-        .join(floors, F.col("vec_id") == F.col("query_id"), "left")
-        .select("vec_id", "vector", "dim", "length", F.col("shelf").alias("home"), F.coalesce("worst", F.lit(_NONE)).alias("floor"))
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+        .join(floors, F.col("row") == F.col("query_row"), "left")
+        .select("row", "vec_id", "vector", "dim", "length", F.col("shelf").alias("home"), F.coalesce("worst", F.lit(_NONE)).alias("floor"))
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     )
     stats = shelved.groupBy("dim", "shelf").agg(F.max("length").alias("longest"))
     reaches = stats.groupBy("dim").agg(F.collect_list(F.struct("shelf", "longest")).alias("shelves"))
@@ -198,15 +204,16 @@ def top_products(rows: DataFrame, top: int = TOP, every: int = EVERY) -> DataFra
         queries.join(reaches, "dim")
         .withColumn("visit", F.explode("shelves"))
         .where("visit.shelf != home and (length * visit.longest * (1 + 1e-9) >= floor)")
-        .select(F.col("visit.shelf").alias("shelf"), "block", "vec_id", "vector", "floor", F.lit(True).alias("asks"))
+        .select(F.col("visit.shelf").alias("shelf"), "block", "row", "vec_id", "vector", "floor", F.lit(True).alias("asks"))
     )
-    visited = shelved.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        "shelf", F.col("block").cast("long").alias("block"), "vec_id", "vector", F.lit(_NONE).alias("floor"), F.lit(False).alias("asks")
+    # a shelf goes to the blocks that hold a query which may find something there, and to no other
+    visited = shelved.join(visits.select("shelf", "block").distinct(), "shelf").select(
+        "shelf", "block", "row", "vec_id", "vector", F.lit(_NONE).alias("floor"), F.lit(False).alias("asks")
     )
     unit = F.concat_ws(":", "shelf", "block").alias("unit")
-    work = visits.unionByName(visited).select(unit, "vec_id", "vector", "floor", "asks")
+    work = visits.unionByName(visited).select(unit, "row", "vec_id", "vector", "floor", "asks")
     others = spread(work, "unit").mapInArrow(each_run("unit", _other_shelf(top)), shape)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (
         own.unionByName(others)
         .withColumn("rank", F.row_number().over(best))

@@ -22,7 +22,7 @@ from coinfold.llm.common import staged
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2
-CELLS = 1024
+CELLS, CELL_ROWS = 256, 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -70,8 +70,10 @@ def source_targets(sized: DataFrame) -> DataFrame:
 def _taken(sized: DataFrame) -> DataFrame:
     """Of rows (row, doc_id, source, size, key): row, doc_id, size, source_size, target, taken."""
     targets = source_targets(sized)
-    cell = F.least(F.lit(CELLS - 1), F.floor(CELLS * (1 - F.exp(-0.9 * F.col("key"))))).cast("int")
-    celled = sized.withColumn("cell", cell)
+    # the order of the rows cut into ranges of about as many rows, whatever their weights; ties end with the row number
+    ranges = max(CELLS, sized.count() // CELL_ROWS)
+    order = [F.col("source").asc_nulls_last(), "key", "doc_id", "row"]
+    celled = staged(sized.repartitionByRange(ranges, *order).withColumn("cell", F.spark_partition_id()), "cells")
     cells = celled.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     over_cells = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)

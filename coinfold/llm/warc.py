@@ -117,10 +117,28 @@ def http_block(page_id: int | None, payload: bytes) -> bytes:
 
 
 def http_parts(block: bytes) -> tuple[bytes, dict[str, str], bytes]:
-    """The head with its blank line, its fields in small letters, and the payload."""
-    head, blank, payload = block.partition(b"\r\n\r\n")
-    fields = dict(x.lower().split(": ", 1) for x in head.decode("latin-1").split("\r\n")[1:] if ": " in x)
-    return head + blank, fields, payload
+    """The head with its blank line, its fields in small letters, and the payload. Lines may end in bare line feeds; a
+    block without a head is all payload, and one without a blank line all head."""
+    if not block.startswith(b"HTTP/"):
+        return b"", {}, block
+    blank = re.search(rb"\r?\n\r?\n", block)
+    head, payload = (block, b"") if blank is None else (block[: blank.end()], block[blank.end() :])
+    lines = re.split(r"\r?\n", head.decode("latin-1"))[1:]
+    return head, dict(x.lower().split(": ", 1) for x in lines if ": " in x), payload
+
+
+def record_kind(record: ArcRecord) -> tuple[str, str]:
+    """WARC type and content type of what the record holds: an answer over HTTP, of a name server, or a file as such."""
+    if record.block.startswith(b"HTTP/"):
+        return "response", "application/http; msgtype=response"
+    if record.url.lower().startswith("dns:"):
+        return "response", "text/dns"
+    kind = record.kind if re.fullmatch(r"[\w.+-]+/[\w.+-]+", record.kind) else "application/octet-stream"
+    return "resource", kind
+
+
+def sha1_text(data: bytes) -> str:
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
 def record_id(archive: str, nth: int) -> str:
@@ -144,14 +162,17 @@ def warc_record(fields: dict[str, str], block: bytes) -> bytes:
 def converted(record: ArcRecord, archive: str, nth: int, refers: dict | None) -> bytes:
     """The WARC record of an ARC record; ``refers`` has id, url and date of the response it repeats."""
     head, _, payload = http_parts(record.block)
+    kind, content = record_kind(record)
+    block = head if refers else record.block
     fields = {
-        "WARC-Type": "revisit" if refers else "response",
+        "WARC-Type": "revisit" if refers else kind,
         "WARC-Record-ID": f"<{record_id(archive, nth)}>",
         "WARC-Date": warc_date(record.date),
         "WARC-Target-URI": record.url,
         "WARC-IP-Address": record.ip,
-        "WARC-Payload-Digest": "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode(),
-        "Content-Type": "application/http; msgtype=response",
+        "WARC-Payload-Digest": sha1_text(payload),
+        "WARC-Block-Digest": sha1_text(block),
+        "Content-Type": content,
     }
     if refers:
         fields |= {
@@ -160,7 +181,7 @@ def converted(record: ArcRecord, archive: str, nth: int, refers: dict | None) ->
             "WARC-Refers-To-Target-URI": refers["url"],
             "WARC-Refers-To-Date": warc_date(refers["date"]),
         }
-    return warc_record(fields, head if refers else record.block)
+    return warc_record(fields, block)
 
 
 def read_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -289,7 +310,7 @@ def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, least: int =
 
 
 def warc_index(spark: SparkSession, path: str) -> DataFrame:
-    """id, page_id, payload_bytes, payload_digest, record_type, refers_id of each response and revisit of the files.
+    """id, page_id, payload_bytes, payload_digest, record_type, refers_id of each response, resource and revisit of the files.
 
     Length and digest are those of the full payload: counted and computed anew for a response, which must agree with
     what the record states, as stated for a revisit.
@@ -302,12 +323,13 @@ def warc_index(spark: SparkSession, path: str) -> DataFrame:
                 rows = []
                 for fields, block in read_warc(content.as_py()):
                     kind = fields["warc-type"]
-                    if kind not in ("response", "revisit"):
+                    if kind not in ("response", "resource", "revisit"):
                         continue
                     _, http, payload = http_parts(block)
                     digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    size = int(http["content-length"])
-                    if kind == "response" and (digest != hashlib.sha1(payload).hexdigest() or size != len(payload)):
+                    size = len(payload) if kind != "revisit" else int(http["content-length"])
+                    stated = fields.get("warc-block-digest", sha1_text(block)) == sha1_text(block)
+                    if not stated or (kind != "revisit" and digest != hashlib.sha1(payload).hexdigest()):
                         raise ValueError(f"{fields['warc-record-id']}: the payload is not what the record states")
                     page = http.get("x-page-id")
                     refers = fields.get("warc-refers-to")

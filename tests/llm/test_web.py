@@ -136,6 +136,24 @@ def test_legacy_files(version, packed):
     assert len({f["warc-record-id"] for f, _ in back}) == len(records)
 
 
+def test_records_are_what_they_hold():
+    page = b"<html>\n\nx</html>"
+    cases = [
+        ("http://h/1", "text/html", b"HTTP/1.0 200 OK\nContent-Type: text/html\n\n" + page, ("response", "application/http; msgtype=response"), page),
+        ("http://h/2", "text/html", b"HTTP/1.0 200 OK\r\nA: b\n\r\n" + page, ("response", "application/http; msgtype=response"), page),
+        ("http://h/3", "text/html", b"HTTP/1.1 204 No Content\r\nX: y", ("response", "application/http; msgtype=response"), b""),
+        ("dns:h", "text/dns", b"19990102030405\nh. 10 IN A 10.0.0.1\n", ("response", "text/dns"), b"19990102030405\nh. 10 IN A 10.0.0.1\n"),
+        ("ftp://h/f", "image/gif", b"GIF89a\r\n\r\n", ("resource", "image/gif"), b"GIF89a\r\n\r\n"),
+        ("http://h/4", "no-type", page, ("resource", "application/octet-stream"), page),
+    ]
+    for url, kind, block, (type_, content), payload in cases:
+        record = ArcRecord(url, "10.0.0.1", "19990102030405", kind, block, 1)
+        ((fields, back),) = read_warc(converted(record, "part-00000", 0, None) + b"\r\n\r\n")
+        sha1 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+        assert (fields["warc-type"], fields["content-type"]) == (type_, content) and back == block
+        assert fields["warc-payload-digest"] == sha1(payload) and fields["warc-block-digest"] == sha1(block)
+
+
 @pytest.mark.parametrize("damage", [b"junk", b"filedesc://x 0 1 t 9\n", b"filedesc://x 0 1 text/plain 4\n3 0\n\nx"])
 def test_damage_is_told(damage):
     with pytest.raises(ValueError):

@@ -30,6 +30,9 @@ BITS = 16
 GRAMS = (3, 4, 5, 6)
 DIM = 8
 PASSAGE = 8
+#: A word goes on as the next one after so many bytes, at the edge of a code point: scripts without blanks have
+#: passages like others.
+WORD_BYTES = 64
 #: A bag is filled up with so many zero vectors, which keeps the mean of a word or two near 0.
 PADDING = 40
 #: Training takes at most so many documents of either label, those first in order of a hash of
@@ -67,6 +70,7 @@ def passages(data: np.ndarray, starts: np.ndarray, bits: int = BITS) -> Passages
     gap = padded == 32
     opens = np.zeros(len(padded), dtype=bool)
     opens[1:] = gap[:-1] & ~gap[1:]
+    _part_long_words(padded, gap, opens)
     word = np.cumsum(opens, dtype=np.int32) - 1  # the latest word begun
     row_words = np.concatenate([word[starts[:-1] + np.arange(rows)] + 1, word[-1:] + 1])
     counts = -(-np.diff(row_words) // PASSAGE)
@@ -93,6 +97,18 @@ def passages(data: np.ndarray, starts: np.ndarray, bits: int = BITS) -> Passages
     return Passages(begin, buckets, owners)
 
 
+def _part_long_words(padded: np.ndarray, gap: np.ndarray, opens: np.ndarray) -> None:
+    """Let words of more than ``WORD_BYTES`` open anew; n-grams still run over the place."""
+    at = np.arange(len(padded))
+    start = np.maximum.accumulate(np.where(opens, at, 0))
+    if not ((at - start >= WORD_BYTES) & ~gap).any():
+        return
+    edges = np.flatnonzero(~gap & (padded & 0xC0 != 0x80))  # first bytes of code points
+    slot = (edges - start[edges]) // WORD_BYTES
+    later = (slot[1:] > slot[:-1]) & (start[edges[1:]] == start[edges[:-1]])
+    opens[edges[1:][later]] = True
+
+
 def _fresh(buckets: list[np.ndarray], words: list[np.ndarray], owner: np.ndarray) -> np.ndarray:
     """Which words are not a repeat of an earlier one of their passage (same n-gram buckets in sum)."""
     n = len(owner)

@@ -192,3 +192,22 @@ def test_other_tokenizers_are_used_as_they_are(tmp_path):
     path.write_text(json.dumps(model))
     other = Encoder(str(path))
     assert other.quick is None and other.ids("word") == other.whole(" word")
+
+
+def test_no_cell_holds_much_of_a_source(documents, tmp_path, monkeypatch):
+    """Very long words, null ids and one repeated id: cells of the sort stay small, and the mix is that of the SQL."""
+    from coinfold.llm import mixing
+
+    rows = [(k if k % 3 else (7 if k % 2 else None), "x" * 900 + " y" if k % 2 else "word " * (k % 9), "s") for k in range(4000)]
+    kept = []
+    before = mixing.staged
+
+    def spy(df, name):
+        kept.append((name, out := before(df, name)))
+        return out
+
+    monkeypatch.setattr(mixing, "staged", spy)
+    result = mix(documents(*rows))
+    cells = dict(kept)["cells"].groupBy("source", "cell").count().collect()
+    assert max(r["count"] for r in cells) < 0.012 * len(rows)
+    assert sum(r.taken for r in result.collect()) > 0

@@ -204,3 +204,15 @@ def test_many_starts_of_a_token_are_read_once():
     found = scanner.spans(data, np.array([0, len(data)]))
     assert time.process_time() - began < 20
     assert [s[0] for s in found[0] if MORE_RULES[s[1]].kind == "web_token"] == [900_001]
+
+
+def test_texts_without_blanks_have_passages():
+    """A long text of one word is cut at code point edges, so what is in it is not averaged away."""
+    text = ("这是一个很长的文本没有空格" * 500).encode()
+    found = passages(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert found.begin[-1] >= len(text) // (8 * 70)
+    for n, owners in zip((3, 4, 5, 6), found.owners, strict=True):
+        assert np.bincount(owners).max() <= 8 * 68, n
+    short = ("ab" * 30 + " cd").encode()
+    one = passages(np.frombuffer(short, np.uint8), np.array([0, len(short)]))
+    assert one.begin.tolist() == [0, 1]

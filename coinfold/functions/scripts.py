@@ -13,6 +13,7 @@ PUSH_NAMES = {76: "OP_PUSHDATA1", 77: "OP_PUSHDATA2", 78: "OP_PUSHDATA4"}
 OP_1, OP_16 = 0x51, 0x60
 OP_RETURN = 0x6A
 
+WORDS_AT_ONCE = 128
 _NO_HEX = r"[^0-9a-f\s]"
 
 
@@ -77,26 +78,34 @@ def disassemble(script: Column) -> Column:
     """Readable operations of a script; null for missing, malformed or truncated scripts.
 
     A fold over the bytes: every step reads the operation at the current position and
-    moves behind it; steps behind the end do nothing. The words are listed and joined once,
-    so a long script's text is not copied at each operation.
+    moves behind it; steps behind the end do nothing. The words are listed, and joined to a text whenever
+    there are many, so that a long script's words are not copied at each operation.
     """
-    state_type = "struct<at:int,words:array<string>>"
+    state_type = "struct<at:int,words:array<string>,texts:array<string>>"
 
     def read(state: Column, behind: Column, *token: Column) -> Column:
-        words = F.concat(state["words"], F.array(*token))
-        return F.struct(behind.cast("int").alias("at"), words.alias("words")).cast(state_type)
-
-    def operation(hx: Column, size: Column, state: Column, op: Column) -> Column:
+        def kept(words: Column) -> Column:
+            full = F.size(words) >= WORDS_AT_ONCE
+            texts = F.concat(state["texts"], F.array(F.array_join(words, " ")))
+            return F.struct(
+                behind.cast("int").alias("at"),
+                F.when(full, F.array().cast("array<string>")).otherwise(words).alias("words"),
+                F.when(full, texts).otherwise(state["texts"]).alias("texts"),
+            ).cast(state_type)
+
+        return _bind(F.concat(state["words"], F.array(*token)), kept)
+
+    def operation(data: Column, size: Column, state: Column, op: Column) -> Column:
         after = state["at"] + 1
 
         def push(name: Column, data_at: Column, length: Column) -> Column:
-            data = F.substring(hx, data_at * 2 + 1, (length * 2).cast("int"))
             behind = data_at + length
-            return F.when(behind <= size, read(state, behind, name, F.upper(data)))
+            pushed = F.hex(F.substring(data, (data_at + 1).cast("int"), length.cast("int")))
+            return F.when(behind <= size, read(state, behind, name, pushed))
 
         def long_push(code: int, width: int) -> Column:
             # Without whole length bytes the length is null, and so is the new state.
-            length = F.when(after + width <= size, _little_endian(hx, after, width))
+            length = F.when(after + width <= size, _number_at(data, after, width))
             return push(F.lit(PUSH_NAMES[code]), after + width, length)
 
         result = F.when(
@@ -113,23 +122,34 @@ def disassemble(script: Column) -> Column:
         )
         return result.otherwise(read(state, after, name))
 
-    def step(hx: Column, size: Column, state: Column) -> Column:
+    def step(data: Column, size: Column, state: Column) -> Column:
         # A null state marks a truncated push; behind the end the state stays as it is.
         at = state["at"]
-        following = _bind(_byte(hx, at), lambda op: operation(hx, size, state, op))
+        following = _bind(_number_at(data, at, 1), lambda op: operation(data, size, state, op))
         return F.when(at >= size, state).when(at < size, following)
 
-    def scan(hx: Column, size: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("words"))
+    def scan(data: Column, size: Column) -> Column:
+        nothing = F.array().cast("array<string>")
+        start = F.struct(F.lit(0).alias("at"), nothing.alias("words"), nothing.alias("texts"))
         text = F.aggregate(
             F.sequence(F.lit(1), size),
             start.cast(state_type),
-            lambda state, _: step(hx, size, state),
-            lambda state: F.when(state.isNotNull(), F.array_join(state["words"], " ")),
+            lambda state, _: step(data, size, state),
+            lambda state: F.when(state.isNotNull(), F.array_join(F.concat(state["texts"], state["words"]), " ")),
         )
         return F.when(size == 0, F.lit("")).when(size > 0, text)
 
-    def run(hx: Column) -> Column:
-        return _bind((F.length(hx) / 2).cast("int"), lambda size: scan(hx, size))
+    def run(data: Column) -> Column:
+        return _bind(F.octet_length(data), lambda size: scan(data, size))
+
+    # as bytes, where a position is found without reading what is before it
+    return F.when(F.length(script) > 0, _bind(F.unhex(_bare_hex(script)), run))
 
-    return F.when(F.length(script) > 0, _bind(_bare_hex(script), run))
+
+def _number_at(data: Column, index: Column, width: int) -> Column:
+    """Little-endian number of some bytes at a zero-based index."""
+    total = None
+    for i in range(width):
+        byte = F.conv(F.hex(F.substring(data, (index + 1 + i).cast("int"), F.lit(1))), 16, 10).cast("bigint")
+        total = byte if total is None else total + byte * F.lit(256**i)
+    return total

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from coinfold.operators.coerce import item_rows
 from coinfold.operators.enrich import enrich_transactions, outpoints, output_counts
@@ -22,6 +22,7 @@ from coinfold.operators.heights import resume_height
 from coinfold.operators.items import block_items, transaction_items, with_item_id
 from coinfold.plans.ingest import load_flat
 from coinfold.schemas import CORRUPT, RAW_BLOCK
+from coinfold.sources import files
 from coinfold.sources.tables import Ledger
 
 TOPICS = ("blocks", "transactions")
@@ -80,8 +81,11 @@ def run_follow(
     if not any((follow.ledger, follow.topics, follow.flat, follow.sink)):
         raise ValueError("a stream needs tables, topics or a sink to write to")
     first = start_height(follow)
+    seen = source.observe(
+        OBSERVED, F.max("height").alias("head"), F.count("height").alias("blocks"), F.count(CORRUPT).alias("unusable")
+    )
     writer = (
-        source.writeStream.option("checkpointLocation", f"{follow.state}/checkpoint")
+        seen.writeStream.option("checkpointLocation", f"{follow.state}/checkpoint")
         .foreachBatch(lambda batch, number: process_batch(batch, number, follow, first))
     )
     if interval is None:
@@ -119,7 +123,19 @@ def process_batch(batch: DataFrame, number: int, follow: Follow, first: int) ->
         write_topics(blocks, transactions, follow.topics, number)
     if follow.sink is not None:
         for topic, items in zip(TOPICS, (blocks, transactions)):
-            follow.sink(topic, _lines(items), number)
+            _sink_once(spark, follow, topic, items, number)
+
+
+def _sink_once(spark: SparkSession, follow: Follow, topic: str, items: DataFrame, number: int) -> None:
+    """Give a topic's items of a micro-batch to the sink unless it had them. What it had is noted by one file for each
+    topic and micro-batch, put in place when the sink has returned: a micro-batch that is run again skips it.
+    A sink that breaks off midway gets the same items again under the same number."""
+    noted = f"{follow.state}/sunk/{topic}"
+    name = f"{number:012d}"
+    if name in files.names(spark, noted):
+        return
+    follow.sink(topic, _lines(items), number)
+    files.put(spark, f"{noted}/{name}", _stream_id(follow))
 
 
 def write_topics(blocks: DataFrame, transactions: DataFrame, topics: str, number: int) -> None:
@@ -151,6 +167,57 @@ def _lines(items: DataFrame) -> DataFrame:
     )
 
 
+#: Name under which each micro-batch reports highest height, blocks and unusable lines.
+OBSERVED = "landed_blocks"
+
+
+class Progress(StreamingQueryListener):
+    """What the running streams report: one row for each micro-batch, with head, current and remaining heights.
+
+    The head is what ``head`` tells, such as a node's height, or else the highest height that landed, less the lag;
+    current is the next height behind what the micro-batches have given on. The rest comes with the progress of the
+    query, so nothing is read or counted for it. Add it with ``spark.streams.addListener``.
+    """
+
+    def __init__(self, lag: int = 0, start: int = 0, head: Callable[[], int] | None = None) -> None:
+        self.lag = max(0, lag)
+        self.start = start
+        self.head = head
+        self.rows: list[dict] = []
+        self._seen: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        """Nothing to note yet."""
+
+    def onQueryIdle(self, event) -> None:
+        """Nothing new."""
+
+    def onQueryTerminated(self, event) -> None:
+        """The rows stay."""
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get(OBSERVED)
+        if seen is None:
+            return
+        query = str(progress.id)
+        if seen["head"] is not None:
+            self._seen[query] = max(seen["head"], self._seen.get(query, seen["head"]))
+        if query not in self._seen:
+            return
+        # what the lag holds back is not given on yet
+        given = self._seen[query] - self.lag
+        head = given if self.head is None else self.head() - self.lag
+        current = max(self.start, given + 1)
+        self.rows.append(
+            {
+                "query": query, "batch": progress.batchId, "head": head, "current": current,
+                "remaining": max(0, head - current + 1), "blocks": seen["blocks"], "unusable": seen["unusable"],
+                "rows_per_second": progress.processedRowsPerSecond,
+            }
+        )
+
+
 def catch_up(blocks: DataFrame, head: int, lag: int = 0) -> DataFrame:
     """How far the tables are behind: one row with head, next height and what remains."""
     target = head - max(0, lag)

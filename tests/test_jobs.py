@@ -373,3 +373,48 @@ def test_only_parts_with_known_keys_are_rewritten(spark, tmp_path):
     after = Versions(spark, path).current()["tables"][""]
     assert (after[0], after[2]) == (before[0], before[2]) and not set(after[1]) & set(before[1])
     assert stored(spark, path) == [("k0", 0, "x", 0), ("k1", 0, "new", 1), ("k2", 0, "x", 2)]
+
+
+def test_a_sink_takes_a_batch_once(spark, tmp_path):
+    """A micro-batch that is run again gives its rows to a sink no second time; one that broke off does."""
+    from coinfold.streaming import follow as module
+
+    raw = read_raw_blocks(spark, land_file(tmp_path / "in", "1.json", *[chain_block(h) for h in range(4)]))
+    text, fails = module.format_sink("json", "topic", path=str(tmp_path / "sunk")), [True]
+
+    def sink(topic, lines, number):
+        if topic == "transactions" and fails:
+            fails.pop()
+            raise RuntimeError("lost")
+        text(topic, lines, number)
+
+    follow = Follow(str(tmp_path / "state"), start=0, sink=sink)
+    with pytest.raises(RuntimeError, match="lost"):
+        module.process_batch(raw, 0, follow, 0)
+    for _ in range(2):
+        module.process_batch(raw, 0, follow, 0)
+    assert spark.read.json(str(tmp_path / "sunk")).count() == 8
+    module.process_batch(raw, 1, follow, 0)
+    assert spark.read.json(str(tmp_path / "sunk")).count() == 16
+
+
+def test_progress_of_a_running_stream(spark, tmp_path):
+    import time
+
+    from coinfold.streaming.follow import Progress
+
+    landing, listener = tmp_path / "landing", Progress(lag=2, head=lambda: 20)
+    spark.streams.addListener(listener)
+    try:
+        follow = Follow(str(tmp_path / "state"), start=0, lag=2, topics=str(tmp_path / "topic"), dead_letters=str(tmp_path / "dead"))
+        for name, blocks in (("1.json", range(4)), ("2.json", range(9, 12)), ("3.json", range(4, 9))):
+            land_file(landing, name, *[chain_block(h) for h in blocks], *["broken"] * (name == "2.json"))
+            run_follow(raw_block_stream(spark, str(landing)), follow).awaitTermination()
+        for _ in range(50):
+            if len(listener.rows) >= 3:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = [(r["head"], r["current"], r["remaining"], r["blocks"], r["unusable"]) for r in listener.rows if r["blocks"]]
+    assert rows == [(18, 2, 17, 4, 0), (18, 10, 9, 3, 1), (18, 10, 9, 5, 0)]

@@ -39,7 +39,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Give every core a part of a table that is one small file. A table with enough files
     for the cluster is left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def with_line_columns(lines: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ file is put in place by a rename, nobody sees what a batch has written, and a ba
 at any step leaves the tables as they were. A plan holds the files of the commit it was built on,
 so later commits do not change what it reads.
 
-A batch is written once, as a version of the buckets it touches. Of the stored parts only those
-with known keys are rewritten, without these keys. Parts of a bucket that have become many are
+A batch is written once, as a version of the buckets it touches. Which buckets may hold one of its keys
+is told by an index of the keys' hashes, 8 bytes a key, that each commit adds to; other buckets are
+not opened. Of the stored parts only those with known keys are rewritten, without these keys. Parts of a bucket that have become many are
 joined, and :meth:`Versions.clean` removes what no recent commit names.
 """
 
@@ -32,6 +33,9 @@ BUCKET = "height_bucket"
 STRATEGIES = ("update", "ignore")
 VERSION = "table_version"
 MANIFESTS, COMMITS = "_manifest", "_commits"
+#: Beside each table lies its key index, a table like it that holds hashes of the keys by bucket.
+INDEX = "_keys_"
+_HASH = T.StructType([T.StructField("hash", T.LongType())])
 #: A bucket of more parts than this is rewritten as one by the commit that adds the next.
 MOST_PARTS = 16
 
@@ -244,16 +248,18 @@ class Batch:
         added = versions.write(table, rows)
         new = versions.read(self.before, table, schema, added)
         # Known keys first: what they are joined with then has the size of the batch, not the table.
-        known = versions.read(self.before, table, schema, live).select(*keys, BUCKET, VERSION)
+        open_ = self._buckets_with(table, live, new, keys)
+        known = versions.read(self.before, table, schema, open_).select(*keys, BUCKET, VERSION)
         held = known.join(new.select(*keys), list(keys), "left_semi")
         # One row per part with a known key: bounded by the number of parts, not by rows.
-        hit = held.groupBy(BUCKET, VERSION).agg(F.count("*").alias("n")).collect() if live else []
+        hit = held.groupBy(BUCKET, VERSION).agg(F.count("*").alias("n")).collect() if open_ else []
         if hit and strategy == "ignore":
             kept = new.drop(VERSION).join(held.select(*keys), list(keys), "left_anti")
             fresh = versions.write(table, kept.select(*schema.names, BUCKET))
             versions.discard(table, added)
             added = fresh
-        elif hit:
+        batch = added
+        if hit and strategy != "ignore":
             touched: Parts = {}
             for row in hit:
                 touched = joined_parts(touched, {row[BUCKET]: [row[VERSION]]})
@@ -266,12 +272,39 @@ class Batch:
         if many:
             content = versions.read(self.before, table, schema, many).drop(VERSION)
             parts |= versions.write(table, content)
+        self._index(table, versions.read(self.before, table, schema, batch), keys)
         self.tables[table] = parts
 
-    def replace(self, table: str, content: DataFrame, buckets: Iterable[int]) -> None:
+    def _buckets_with(self, table: str, live: Parts, new: DataFrame, keys: tuple[str, ...]) -> Parts:
+        """The parts that may hold one of the new keys: those of the buckets where the index has its hash."""
+        index = self._live(INDEX + table)
+        if set(live) - set(index):  # not all of the table is indexed
+            return live
+        hashes = self.versions.read(self.before, INDEX + table, _HASH, index)
+        found = hashes.join(new.select(F.xxhash64(*keys).alias("hash")), "hash", "left_semi")
+        buckets = {r[0] for r in found.select(BUCKET).distinct().collect()} if index else set()
+        return {b: vs for b, vs in live.items() if b in buckets}
+
+    def _index(self, table: str, rows: DataFrame, keys: tuple[str, ...], replaced: Iterable[int] = ()) -> None:
+        """Add the hashes of the keys to the index. It holds 8 bytes a key; a key that left its bucket stays in it,
+        which costs a look into that bucket and no more."""
+        name, gone = INDEX + table, set(replaced)
+        hashes = rows.select(F.xxhash64(*keys).alias("hash"), BUCKET)
+        old = {b: vs for b, vs in self._live(name).items() if b not in gone}
+        parts = joined_parts(old, self.versions.write(name, hashes))
+        many = {b: vs for b, vs in parts.items() if len(vs) > MOST_PARTS}
+        if many:
+            content = self.versions.read(self.before, name, _HASH, many).drop(VERSION).distinct()
+            parts |= self.versions.write(name, content)
+        self.tables[name] = parts
+
+    def replace(self, table: str, content: DataFrame, buckets: Iterable[int], keys: tuple[str, ...]) -> None:
         """Put new content in place of some buckets."""
         others = {b: vs for b, vs in self._live(table).items() if b not in set(buckets)}
-        self.tables[table] = joined_parts(others, self.versions.write(table, content))
+        made = self.versions.write(table, content)
+        schema = T.StructType([f for f in content.schema.fields if f.name != BUCKET])
+        self._index(table, self.versions.read(self.before, table, schema, made), keys, buckets)
+        self.tables[table] = joined_parts(others, made)
 
 
 def _keyed(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -351,7 +384,8 @@ class Ledger:
         with Batch(self.versions) as batch:
             for name in CHILDREN_FIRST:
                 if name in batch.before["tables"]:
-                    batch.replace(name, tables[name].select(*TABLES[name].names, BUCKET), buckets)
+                    content = tables[name].select(*TABLES[name].names, BUCKET)
+                    batch.replace(name, content, buckets, TABLE_KEYS[name])
 
     def clean(self, keep: int = 2) -> int:
         """Remove what none of the last commits needs, see :meth:`Versions.clean`."""

@@ -121,3 +121,10 @@ def test_run_is_the_stages(spark):
     made = corpus_pipeline.run(spark, SF)
     assert set(made.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
     assert made.count() > 100
+
+
+def test_an_empty_table_passes_all_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.collect() == [], name

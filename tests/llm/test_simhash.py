@@ -123,3 +123,12 @@ def test_components(spark):
     assert got == {x: want[x] for x in linked}
     nodes, roots = forest(np.array([a for a, _ in links]), np.array([b for _, b in links]))
     assert {int(a): int(b) for a, b in zip(nodes, roots, strict=True)} == {x: r for x, r in want.items() if r != x}
+
+
+def test_columns_of_any_name_survive_near_dedup(spark):
+    rows = [(1, "some words that repeat here", "mine", "k", 5), (2, "some words that repeat here", "yours", "l", 6), (3, None, None, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__key` string, key string, row int")
+    kept = one_of_each_group(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+    assert one_of_each_group(docs.limit(0)).collect() == []

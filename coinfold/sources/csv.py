@@ -43,7 +43,8 @@ def read_csv(spark: SparkSession, source: str | list[str]) -> DataFrame:
     text = F.when(ended, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
     text = F.when(F.col("crlf"), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
     row = F.from_csv(text, columns, {**CSV, "header": "false", "multiLine": "true", "lineSep": "\n"})
-    rows = records.where(~F.col("heads")).select(row.alias("row"))
+    # rows keep the order of the files
+    rows = records.where(~F.col("heads")).orderBy("file", "split", "first").select(row.alias("row"))
     return rows.select("row.*").fillna("")
 
 
@@ -84,7 +85,7 @@ def _splits(lines: DataFrame) -> DataFrame:
 
 
 def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
-    """text of each record, whether it is the header of its file, the last one, and of a file with CR LF."""
+    """text of each record, whether it is the header of its file, the last one, and of a file with CR LF; and its place."""
     in_split = Window.partitionBy("file", "split").orderBy("line")
     before = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inside = (before + F.col("inside").cast("int")) % 2 == 1
@@ -100,24 +101,24 @@ def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     heads = ((F.col("split") == 0) & (F.col("record") == 1)).alias("heads")
     last = F.coalesce(F.col("line") == F.col("final"), F.lit(False)).alias("last")
     alone = F.col("starts") & F.col("closes")
-    single = placed.where(alone).select(F.col("value").alias("text"), heads, last, "crlf")
+    single = placed.where(alone).select(F.col("value").alias("text"), heads, last, "crlf", "file", "split", F.col("line").alias("first"))
     # the lines of a record, within a split
     joined = lambda parts: F.array_join(F.transform(F.sort_array(parts), lambda x: x["text"]), "\n")
     held = placed.where(~alone).withColumn("text", F.col("value"))
     pieces = held.groupBy("file", "split", "record").agg(
         joined(F.collect_list(F.struct("line", "text"))).alias("text"), F.bool_or("closes").alias("closed"),
-        F.bool_or(last).alias("last"), F.first("crlf").alias("crlf"),
+        F.bool_or(last).alias("last"), F.first("crlf").alias("crlf"), F.min("line").alias("first"),
     )
     whole = F.col("closed") & (F.col("record") > 0)
-    within = pieces.where(whole).select("text", heads, "last", "crlf")
+    within = pieces.where(whole).select("text", heads, "last", "crlf", "file", "split", "first")
     # at most two pieces of a split go on in another one
     begun = F.sum((F.col("record") > 0).cast("long")).over(Window.partitionBy("file").orderBy("split", "record"))
     across = (
         pieces.where(~whole)
         .withColumn("begun", begun)
         .groupBy("file", "begun")
-        .agg(joined(F.collect_list(F.struct("split", "record", "text"))).alias("text"), F.min(F.struct("split", "record")).alias("at"),
+        .agg(joined(F.collect_list(F.struct("split", "record", "text"))).alias("text"), F.min(F.struct("split", "record", "first")).alias("at"),
              F.bool_or("last").alias("last"), F.first("crlf").alias("crlf"))
-        .select("text", ((F.col("at.split") == 0) & (F.col("at.record") == 1)).alias("heads"), "last", "crlf")
+        .select("text", ((F.col("at.split") == 0) & (F.col("at.record") == 1)).alias("heads"), "last", "crlf", "file", "at.split", "at.first")
     )
     return single.unionByName(within).unionByName(across)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from coinfold.plans import ledger_view as view
+from coinfold.plans.catalog_rows import _map_totals
 from coinfold.schemas import RAW_BLOCK
 from coinfold.sources.raw import parse_raw_blocks
 
@@ -39,3 +40,14 @@ def test_blocks_of_the_view_are_not_parsed(spark):
     plan = blocks.select("height", F.size("tx"))._jdf.queryExecution().optimizedPlan().toString()
     assert set(RAW_BLOCK.names) < set(blocks.columns)
     assert "json" not in plan.lower() and "valuecommitment" not in plan
+
+
+def test_map_totals_beyond_bigint(spark):
+    """Each sum of a row is a bigint, their total need not be one."""
+    columns = "explicit_in_by_asset map<string,bigint>, explicit_out_by_asset map<string,bigint>, fee_by_asset map<string,bigint>"
+    most = 2**63 - 1
+    small = _map_totals(spark.createDataFrame([({"a": 5}, {"a": most}, None), ({"a": 6}, None, None)], columns))
+    assert small.schema["units"].dataType.simpleString() == "bigint"
+    assert sorted(map(tuple, small.collect())) == [("in", "a", 2, 11, 6), ("out", "a", 1, most, most)]
+    large = _map_totals(spark.createDataFrame([({"a": most}, None, {"b": 1})] * 3, columns))
+    assert sorted(map(tuple, large.collect())) == [("fee", "b", 3, 3, 1), ("in", "a", 3, 3 * most, most)]

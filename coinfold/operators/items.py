@@ -125,22 +125,19 @@ def transaction_items(raw: DataFrame) -> DataFrame:
     no_items = F.array()
     vins = F.coalesce(tx["vin"], no_items.cast(_type_of(tx_field="vin")))
     vouts = F.coalesce(tx["vout"], no_items.cast(_type_of(tx_field="vout")))
-    shaped = exploded.select(
+    ins, outs = F.filter(vins, lambda v: v.isNotNull()), F.filter(vouts, lambda v: v.isNotNull())
+    shown = F.filter(outs, lambda v: ~_hidden(v["valuecommitment"], v["assetcommitment"], v["value"]))
+    # Each amount is read once, from the source: totals do not need the items' arrays, nor these the totals.
+    amounts = exploded.select(
         "*",
         F.exists(vins, lambda v: v["coinbase"].isNotNull()).alias("_minted"),
-        F.transform(F.filter(vins, lambda v: v.isNotNull()), _input).alias("inputs"),
-        F.transform(F.filter(vouts, lambda v: v.isNotNull()), _output).alias("outputs"),
+        F.transform(ins, _input).alias("inputs"),
+        F.transform(outs, _output).alias("outputs"),
+        F.size(ins).alias("_ins"),
+        F.size(outs).alias("_outs"),
         F.exists(vins, lambda v: v.isNull()).alias("_malformed"),
-    )
-    shown = F.filter(
-        F.col("outputs"),
-        lambda o: ~_hidden(o["confidential_value"], o["asset_commitment"], o["value"]),
-    )
-    # Each amount is read once; what follows works on what was read.
-    amounts = shaped.select(
-        "*",
-        F.transform("inputs", lambda i: amount(i["value"])).alias("_paid"),
-        F.transform(shown, lambda o: amount(o["value"])).alias("_given"),
+        F.transform(ins, lambda v: amount(v["prevout"]["value"])).alias("_paid"),
+        F.transform(shown, lambda v: amount(v["value"])).alias("_given"),
     )
     known = (
         (F.size("_paid") > 0)
@@ -150,13 +147,13 @@ def transaction_items(raw: DataFrame) -> DataFrame:
     )
     totals = amounts.withColumn("_known", known)
     paid, given = F.col("_paid"), F.col("_given")
-    open_ = F.col("_known") & (F.size("_given") == F.size("outputs"))
+    open_ = F.col("_known") & (F.size("_given") == F.col("_outs"))
     made = {name: tx[source] for name, source in TX_FIELDS.items()}
     made |= {
         "hash": F.coalesce(nonempty(tx["txid"]), tx["hash"]),
         "is_coinbase": F.coalesce(F.col("_minted"), F.lit(False)),
-        "input_count": F.size("inputs"),
-        "output_count": F.size("outputs"),
+        "input_count": F.col("_ins"),
+        "output_count": F.col("_outs"),
         "input_value": F.when(F.col("_known"), total_text(paid)),
         "output_value": total_text(given),
         "fee": F.when(open_, total_text(paid, given)),

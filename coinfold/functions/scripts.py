@@ -14,6 +14,7 @@ OP_1, OP_16 = 0x51, 0x60
 OP_RETURN = 0x6A
 
 WORDS_AT_ONCE = 128
+STRIDE = 64
 _NO_HEX = r"[^0-9a-f\s]"
 
 
@@ -131,10 +132,17 @@ def disassemble(script: Column) -> Column:
     def scan(data: Column, size: Column) -> Column:
         nothing = F.array().cast("array<string>")
         start = F.struct(F.lit(0).alias("at"), nothing.alias("words"), nothing.alias("texts"))
+
+        # As many steps as bytes, in strides: behind the end a whole stride is one step that does nothing.
+        def stride(state: Column) -> Column:
+            steps = F.sequence(F.lit(1), F.least(size, F.lit(STRIDE)))
+            more = F.aggregate(steps, state, lambda inner, _: step(data, size, inner))
+            return F.when(state["at"] >= size, state).when(state["at"] < size, more)
+
         text = F.aggregate(
-            F.sequence(F.lit(1), size),
+            F.sequence(F.lit(1), F.ceil(size / STRIDE).cast("int")),
             start.cast(state_type),
-            lambda state, _: step(data, size, state),
+            lambda state, _: stride(state),
             lambda state: F.when(state.isNotNull(), F.array_join(F.concat(state["texts"], state["words"]), " ")),
         )
         return F.when(size == 0, F.lit("")).when(size > 0, text)

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from coinfold.functions.amounts import to_base_units
+from coinfold.functions.scripts import disassemble
+from coinfold.operators import items
 from coinfold.plans import ledger_view as view
 from coinfold.plans.catalog_rows import _map_totals
 from coinfold.schemas import RAW_BLOCK
@@ -51,3 +54,35 @@ def test_map_totals_beyond_bigint(spark):
     assert sorted(map(tuple, small.collect())) == [("in", "a", 2, 11, 6), ("out", "a", 1, most, most)]
     large = _map_totals(spark.createDataFrame([({"a": most}, None, {"b": 1})] * 3, columns))
     assert sorted(map(tuple, large.collect())) == [("fee", "b", 3, 3, 1), ("in", "a", 3, 3 * most, most)]
+
+
+def test_totals_do_not_need_the_arrays_of_items(spark):
+    """Totals are read from the source: scripts and addresses are not made for them."""
+    made = items.transaction_items(view.line_blocks(_lines(spark)))
+    plan = made.select("hash", "input_count", "output_value", "fee")._jdf.queryExecution().optimizedPlan().toString()
+    assert "scriptsig_asm" not in plan and "op_return_data_hex" not in plan
+    plan = made.select("hash", "inputs")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_given" not in plan
+    both = made.where("index = 1").select("fee", F.size("inputs").alias("n"), "input_count").collect()
+    assert {(r.n, r.input_count) for r in both} == {(2, 2)}
+
+
+def test_operations_across_strides(spark):
+    """Scripts of about one, two and three strides, of pushes and of single operations, whole and cut off."""
+    hexes = {}
+    for n in (63, 64, 65, 127, 128, 129, 200):
+        hexes["51" * n] = " ".join(["OP_1"] * n)
+        hexes["02abcd" * n] = " ".join(["OP_PUSHBYTES_2 ABCD"] * n)
+        hexes["51" * n + "02ab"] = None
+    df = spark.createDataFrame([(h,) for h in hexes], "h string")
+    assert {r.h: r.a for r in df.select("h", disassemble(F.col("h")).alias("a")).collect()} == hexes
+
+
+def test_amounts_read_quickly_are_what_the_long_way_gives(spark):
+    forms = ["0", "+5", "-0.1", "7.", "1.50", "9999999999.99999999", "99999999999", ".5", "1e-8", "1.000000000",
+             "0.123456789", " 2.5 ", "", "-", "nan", "true", None, "12345678901234567890.123456789012345678"]
+    want = [0, 500000000, -10000000, 700000000, 150000000, 999999999999999999, None, 50000000, 1, 100000000,
+            None, 250000000, None, None, None, None, None, None]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(forms)], "i int, f string").where("i <> 6")
+    got = {r.i: r.u for r in df.select("i", to_base_units(F.col("f")).alias("u")).collect()}
+    assert got == {i: w for i, w in enumerate(want) if i != 6}

@@ -186,11 +186,12 @@ def _input(vin: Column) -> Column:
     given_asm = vin["scriptSig"]["asm"]
     # Minted inputs are read anew, others only where the node gave no operations.
     unread = truthy_text(hex_text) & (minted | ~truthy_text(given_asm))
-    own_asm = disassemble(F.when(unread, hex_text))
-    asm = F.coalesce(
-        F.when(minted, nonempty(own_asm)).otherwise(own_asm),
-        F.when(minted | ~unread, given_asm),
-    )
+    # Bound, so that a script is read once though its operations are looked at twice.
+    own_asm = F.transform(
+        F.array(disassemble(F.when(unread, hex_text))),
+        lambda own: F.when(minted, nonempty(own)).otherwise(own),
+    )[0]
+    asm = F.coalesce(own_asm, F.when(minted | ~unread, given_asm))
     made = {name: vin[name] for name in INPUT_FIELDS}
     made |= {
         "input_type": F.when(issuance.isNotNull(), "issuance").when(pegged_in, "pegin"),

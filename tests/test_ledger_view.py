@@ -86,3 +86,7 @@ def test_amounts_read_quickly_are_what_the_long_way_gives(spark):
     df = spark.createDataFrame([(i, f) for i, f in enumerate(forms)], "i int, f string").where("i <> 6")
     got = {r.i: r.u for r in df.select("i", to_base_units(F.col("f")).alias("u")).collect()}
     assert got == {i: w for i, w in enumerate(want) if i != 6}
+
+
+def test_script_of_an_input_is_read_once(spark):
+    assert str(items._input(F.col("v"))).count("unhex(") == 1

@@ -1,11 +1,15 @@
 """Work that has to grow no faster than its input: parts, passes, files."""
 
+from coinfold.operators.items import block_items, transaction_items
 from coinfold.operators.rows import bulk_rows
-from coinfold.plans import ingest, ledger_view
-from coinfold.plans.catalog_jobs import _orders, chain_text
+from coinfold.plans import catalog_jobs, ingest, ledger_view
+from coinfold.plans.catalog_jobs import _landed, _orders, chain_text
+from coinfold.plans.ingest import load_items
 from coinfold.plans.repair import repair
+from coinfold.sources import items as item_source
 from coinfold.sources.raw import parse_raw_blocks
-from coinfold.sources.tables import Ledger
+from coinfold.sources.tables import Ledger, one_per_key
+from coinfold.streaming.follow import write_topics
 
 
 def some_orders(spark, path, n=40):
@@ -35,3 +39,13 @@ def test_repair_parses_once(spark, tmp_path, monkeypatch):
     repair(ledger, raw, start=0, end=39)
     assert seen == [13]
     assert {n: t.count() for n, t in ledger.tables().items()} == dict.fromkeys(ledger.tables(), 40)
+
+def test_a_kept_row_is_carried_once(spark):
+    """The row is the ranked struct itself, maps included; ties are settled by the row, the first or the last in order."""
+    text = "SELECT * FROM VALUES ('k', 2, 'a', map('x', 1L)), ('k', 2, 'b', map('x', 3L, 'y', 1L)), ('k', 1, 'c', null), ('m', null, null, null), ('m', 0, null, map()) AS t(k, at, v, m)"
+    batch = spark.sql(text)
+    last, first = one_per_key(batch, ("k",), ["at"]), one_per_key(batch, ("k",), ["at"], last=False)
+    assert last.columns == batch.columns and last.schema.simpleString() == batch.schema.simpleString()
+    assert sorted(map(tuple, last.collect())) == [("k", 2, "b", {"x": 3, "y": 1}), ("m", 0, None, {})]
+    assert sorted(map(tuple, first.collect())) == [("k", 1, "c", None), ("m", None, None, None)]
+    assert "max_by" not in last._jdf.queryExecution().optimizedPlan().toString()

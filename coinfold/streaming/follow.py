@@ -23,6 +23,7 @@ from coinfold.operators.items import block_items, transaction_items, with_item_i
 from coinfold.plans.ingest import load_flat
 from coinfold.schemas import CORRUPT, RAW_BLOCK
 from coinfold.sources import files
+from coinfold.sources.items import COMPRESSION
 from coinfold.sources.tables import Ledger
 
 TOPICS = ("blocks", "transactions")
@@ -139,9 +140,10 @@ def _sink_once(spark: SparkSession, follow: Follow, topic: str, items: DataFrame
 
 
 def write_topics(blocks: DataFrame, transactions: DataFrame, topics: str, number: int) -> None:
-    """Items of a micro-batch as JSON lines, one folder per topic."""
+    """Items of a micro-batch as JSON lines in compressed files, one folder per topic."""
     for topic, items in zip(TOPICS, (blocks, transactions)):
-        _lines(items).write.mode("overwrite").text(f"{topics}.{topic}/batch={number}")
+        lines = _lines(items).write.mode("overwrite")
+        lines.text(f"{topics}.{topic}/batch={number}", compression=COMPRESSION)
 
 
 def console(topic: str, lines: DataFrame, number: int) -> None:

@@ -49,3 +49,18 @@ def test_a_kept_row_is_carried_once(spark):
     assert sorted(map(tuple, last.collect())) == [("k", 2, "b", {"x": 3, "y": 1}), ("m", 0, None, {})]
     assert sorted(map(tuple, first.collect())) == [("k", 1, "c", None), ("m", None, None, None)]
     assert "max_by" not in last._jdf.queryExecution().optimizedPlan().toString()
+
+def test_items_and_topics_are_compressed(spark, tmp_path):
+    raw = parse_raw_blocks(chain_text(_orders(spark, some_orders(spark, tmp_path / "sf"))))
+    path, made = str(tmp_path / "items"), block_items(raw)
+    item_source.write_items(made, path)
+    item_source.write_items(made, path, append=True)
+    assert {p.suffix for p in (tmp_path / "items").glob("part-*")} == {".gz"}
+    read = item_source.read_block_items(spark, path)
+    assert sorted(r.hash for r in read.collect()) == sorted(2 * [r.hash for r in made.collect()])
+    write_topics(made, made, str(tmp_path / "topic"), 0)
+    assert {p.suffix for p in (tmp_path / "topic.blocks" / "batch=0").glob("part-*")} == {".gz"}
+    assert spark.read.json(str(tmp_path / "topic.blocks")).count() == 40
+    item_source.export_partitions(raw, str(tmp_path / "out"), "side", start=3, end=9, compression="gzip")
+    assert {p.suffix for p in (tmp_path / "out").rglob("part-*")} == {".gz"}
+    assert spark.read.json(str(tmp_path / "out" / "blocks")).count() == 7

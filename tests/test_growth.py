@@ -64,3 +64,16 @@ def test_items_and_topics_are_compressed(spark, tmp_path):
     item_source.export_partitions(raw, str(tmp_path / "out"), "side", start=3, end=9, compression="gzip")
     assert {p.suffix for p in (tmp_path / "out").rglob("part-*")} == {".gz"}
     assert spark.read.json(str(tmp_path / "out" / "blocks")).count() == 7
+
+def test_loaded_items_are_parsed_once(spark, tmp_path, monkeypatch):
+    """What the four tables read is parquet, with the place of each item."""
+    raw = parse_raw_blocks(chain_text(_orders(spark, some_orders(spark, tmp_path / "sf"))))
+    blocks, transactions = str(tmp_path / "b"), str(tmp_path / "t")
+    item_source.write_items(block_items(raw), blocks)
+    item_source.write_items(transaction_items(raw), transactions)
+    given, rows = [], ingest.item_rows
+    monkeypatch.setattr(ingest, "item_rows", lambda *items: (given.extend(items), rows(*items))[1])
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    load_items(spark, ledger, blocks, transactions)
+    assert all(f.endswith(".parquet") for items in given for f in items.inputFiles())
+    assert {n: t.count() for n, t in ledger.tables().items()} == dict.fromkeys(ledger.tables(), 40)

@@ -80,13 +80,21 @@ def _orders(spark, sf):
 
 
 def _landed(spark, sf, files):
-    """The chain as landed files of raw blocks."""
+    """The chain as landed files of raw blocks: so many of a small table, in proportion more of a large one."""
     path = shared_dir(spark, "landing")
-    text = chain_text(_orders(spark, sf))
-    text.repartitionByRange(files, "height").select("value").write.text(path)
+    orders = _orders(spark, sf)
+    chain_text(orders.repartitionByRange(_landed_files(spark, sf, files), "o_orderkey")).select("value").write.text(path)
     return path
 
 
+#: Landed blocks in one file at most, about.
+_FILE_BLOCKS = 250_000
+
+
+def _landed_files(spark, sf, files):
+    return max(files, -(-view.table(spark, sf, "orders").count() // _FILE_BLOCKS))
+
+
 def _ledger(spark, **options):
     return Ledger(spark, shared_dir(spark, "ledger"), **options)
 
@@ -460,8 +468,8 @@ def followed_tables(spark, sf):
     + _TABLES.format(where="WHERE height <= (SELECT max(height) FROM chain) - 25"),
 )
 def followed_with_lag(spark, sf):
-    """Landed files in several micro-batches; the last 25 heights wait, lines that are no
-    block go to the dead letters."""
+    """Landed files in several micro-batches, two of a small table's files at a time; the last 25 heights wait, lines
+    that are no block go to the dead letters."""
     landing = _landed(spark, sf, 2)
     broken = _orders(spark, sf).select(F.lit("no block").alias("value")).limit(3)
     broken.coalesce(1).write.mode("append").text(landing)
@@ -471,7 +479,7 @@ def followed_with_lag(spark, sf):
         state=shared_dir(spark, "state"), ledger=ledger, lag=25, start=0,
         dead_letters=shared_dir(spark, "dead"),
     )
-    run_follow(raw_block_stream(spark, landing, max_files=2), follow).awaitTermination()
+    run_follow(raw_block_stream(spark, landing, max_files=_landed_files(spark, sf, 2)), follow).awaitTermination()
     return _content(ledger)
 
 

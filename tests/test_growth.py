@@ -77,3 +77,10 @@ def test_loaded_items_are_parsed_once(spark, tmp_path, monkeypatch):
     load_items(spark, ledger, blocks, transactions)
     assert all(f.endswith(".parquet") for items in given for f in items.inputFiles())
     assert {n: t.count() for n, t in ledger.tables().items()} == dict.fromkeys(ledger.tables(), 40)
+
+def test_large_tables_land_in_more_files(spark, tmp_path, monkeypatch):
+    sf = some_orders(spark, tmp_path / "sf")
+    assert len(spark.read.text(_landed(spark, sf, 2)).inputFiles()) == 2
+    monkeypatch.setattr(catalog_jobs, "_FILE_BLOCKS", 8)
+    landed = spark.read.text(_landed(spark, sf, 2))
+    assert len(landed.inputFiles()) == 5 and landed.count() == 40

@@ -16,6 +16,9 @@ _NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 # Text that a decimal surely holds: as base units in a bigint, as an exact decimal.
 _PLAIN_COINS = r"^[+-]?[0-9]{1,10}(?:\.[0-9]{0,8})?$"
 _PLAIN_EXACT = r"^[+-]?[0-9]{1,20}(?:\.[0-9]{0,18})?$"
+# Text of which two decimals hold the digits on either side of the point, and sums of any array of them.
+_HALF = 28
+_PLAIN_WIDE = r"^[+-]?[0-9]{1,28}(?:\.[0-9]{0,28})?\z"
 _FRACTION = r"\.([0-9]*)"
 _EXPONENT = r"[eE]([+-]?[0-9]+)$"
 
@@ -123,23 +126,41 @@ def _loud(text: Column) -> Column:
 
 # ---- totals ------------------------------------------------------------------------------
 
-AMOUNT = f"struct<exact:{EXACT},digits:int,text:string>"
+_WHOLE = "decimal(38,0)"
+_HALVES = f"struct<whole:{_WHOLE},part:{_WHOLE}>"
+AMOUNT = f"struct<exact:{EXACT},digits:int,text:string,halves:{_HALVES}>"
 #: A total has at most so many digits; one beyond fails the job.
 MOST_DIGITS = 100_000
 _LIMB = 9
 
 
 def amount(value: Column) -> Column:
-    """An amount for :func:`total_text`: as a decimal if one holds it, else its text; the digits behind the
-    point as written. Both are null for what is no finite number."""
+    """An amount for :func:`total_text`: as a decimal if one holds it, else its text, and its halves if two
+    decimals hold them; the digits behind the point as written. All are null for what is no finite number."""
     exact, text = exact_decimal(value), _text(value)
     other = F.when(exact.isNull() & text.rlike(_NUMBER), text)
-    read = F.struct(exact.alias("exact"), fraction_digits(value).alias("digits"), other.alias("text")).cast(AMOUNT)
     digits = F.when(F.instr(text, ".") > 0, F.length(text) - F.instr(text, ".")).otherwise(0)
-    plain = F.struct(
-        text.try_cast(EXACT).alias("exact"), digits.alias("digits"), F.lit(None).cast("string").alias("text")
-    ).cast(AMOUNT)
-    return F.when(text.rlike(_PLAIN_EXACT), plain).otherwise(read)
+    nothing = {"exact": F.lit(None).cast(EXACT), "text": F.lit(None).cast("string"), "halves": F.lit(None).cast(_HALVES)}
+
+    def made(**given: Column) -> Column:
+        fields = nothing | given
+        return F.struct(*(fields[n].alias(n) for n in ("exact", "digits", "text", "halves"))).cast(AMOUNT)
+
+    return (
+        F.when(text.rlike(_PLAIN_EXACT), made(exact=text.try_cast(EXACT), digits=digits))
+        .when(text.rlike(_PLAIN_WIDE), made(text=text, digits=digits, halves=_halves(text)))
+        .otherwise(made(exact=exact, digits=fraction_digits(value), text=other))
+    )
+
+
+def _halves(text: Column) -> Column:
+    """The digits before the point, and those behind it filled up to 28, of plain text; both with its sign."""
+    sign, digits = F.when(text.startswith("-"), "-").otherwise(""), F.translate(text, "+-", "")
+    fraction = F.when(F.instr(digits, ".") > 0, F.substring_index(digits, ".", -1)).otherwise("")
+    return F.struct(
+        F.concat(sign, F.substring_index(digits, ".", 1)).cast(_WHOLE).alias("whole"),
+        F.concat(sign, F.rpad(fraction, _HALF, "0")).cast(_WHOLE).alias("part"),
+    ).cast(_HALVES)
 
 
 def is_amount(item: Column) -> Column:
@@ -150,8 +171,9 @@ def total_text(plus: Column, minus: Column | None = None) -> Column:
     """Sum of an array of amounts, less that of another one, as plain text with the most digits behind the
     point that any of them was written with. What is no number counts zero.
 
-    Sums that ``decimal(38,18)`` holds are made of decimals. Others, of any size, are made of limbs of nine
-    digits with carry.
+    Sums that ``decimal(38,18)`` holds are made of decimals. Those of amounts with at most 28 digits on either
+    side of the point are made of two, one for each side. Others, of any size, are made of limbs of nine digits
+    with carry.
     """
     sides = [plus] if minus is None else [plus, minus]
     digits = F.greatest(F.lit(0), *(F.array_max(F.transform(s, lambda a: F.when(is_amount(a), a["digits"]))) for s in sides))
@@ -177,13 +199,62 @@ def total_text(plus: Column, minus: Column | None = None) -> Column:
             quick = F.try_subtract(quick, x["minus_sum"]["sum"]).try_cast(EXACT)
             held = held & x["minus_sum"]["held"] & quick.isNotNull()
             terms = F.concat(terms, numbers(x["minus"], -1))
-        return F.when(held, decimal_text(quick, x["digits"])).otherwise(_limbs(terms, x["digits"]))
+        two = F.lit(True)
+        for name in ("plus", "minus")[: len(sides)]:
+            two = two & F.forall(x[name], lambda a: a["text"].isNull() | a["halves"].isNotNull())
+        wide = _bound(
+            F.struct(*(_halves_sum(x[name]).alias(name) for name in ("plus", "minus")[: len(sides)])),
+            lambda sums: _halves_text(sums["plus"], None if minus is None else sums["minus"], x["digits"]),
+        )
+        return (
+            F.when(held, decimal_text(quick, x["digits"])).when(two, wide).otherwise(_limbs(terms, x["digits"]))
+        )
 
     named = zip(("plus", "minus"), sides, strict=False)
     parts = [(side.alias(name), short(side).alias(f"{name}_sum")) for name, side in named]
     return F.transform(F.array(F.struct(digits.alias("digits"), *(c for pair in parts for c in pair))), shown)[0]
 
 
+def _bound(value: Column, use) -> Column:
+    """A value that is computed once and used often."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _halves_sum(side: Column) -> Column:
+    """Sums of either half. An array has fewer than 2^31 amounts, so that 38 digits hold them."""
+    zero = F.lit(0).cast(_WHOLE)
+    start = F.struct(zero.alias("whole"), zero.alias("part")).cast(_HALVES)
+
+    def add(total: Column, a: Column) -> Column:
+        own = F.coalesce(a["halves"], F.when(a["exact"].isNotNull(), _halves(a["exact"].cast("string"))))
+        return F.when(own.isNull(), total).otherwise(
+            F.struct(*((total[h] + own[h]).cast(_WHOLE).alias(h) for h in ("whole", "part"))).cast(_HALVES)
+        )
+
+    return F.aggregate(side, start, add)
+
+
+def _halves_text(plus: Column, minus: Column | None, digits: Column) -> Column:
+    """Text of a sum, or of one less another, with ``digits`` digits behind the point."""
+    one = F.lit("1" + "0" * _HALF).cast(_WHOLE)
+    whole, part = (plus[h] if minus is None else (plus[h] - minus[h]).cast(_WHOLE) for h in ("whole", "part"))
+
+    def carried(left: Column) -> Column:
+        more = F.call_function("div", (part - left).cast(_WHOLE), one)
+        return F.struct((whole + more).cast(_WHOLE).alias("whole"), left.alias("part"))
+
+    def shown(total: Column) -> Column:
+        # a part is never negative here: -1.25 is -2 and 0.75
+        negative, some = total["whole"] < 0, total["part"] > 0
+        before = F.abs(F.when(negative & some, total["whole"] + 1).otherwise(total["whole"])).cast(_WHOLE).cast("string")
+        behind = F.when(negative & some, one - total["part"]).otherwise(total["part"]).cast(_WHOLE).cast("string")
+        padded = F.rpad(F.lpad(behind, _HALF, "0"), digits, F.lit("0"))
+        text = F.when(digits > 0, F.concat(before, F.lit("."), padded)).otherwise(before)
+        return F.when(negative, F.concat(F.lit("-"), text)).otherwise(text)
+
+    return _bound(_bound(F.pmod(part, one).cast(_WHOLE), carried), shown)
+
+
 def _number_of(item: Column, sign: int) -> Column:
     """Sign, all digits and how many of them are behind the point."""
     text = F.coalesce(item["text"], item["exact"].cast("string"))
@@ -204,7 +275,6 @@ def _number_of(item: Column, sign: int) -> Column:
 def _limbs(numbers: Column, digits: Column) -> Column:
     """Sum of such numbers as text with ``digits`` digits behind the point."""
     scale = F.greatest(digits, F.coalesce(F.array_max(F.transform(numbers, lambda n: n["scale"])), digits))
-    bound = lambda value, use: F.transform(F.array(value), use)[0]  # noqa: E731  # computed once, used often
 
     def summed(x: Column) -> Column:
         def limb(k: Column) -> Column:
@@ -241,7 +311,7 @@ def _limbs(numbers: Column, digits: Column) -> Column:
         # a negative sum leaves a negative carry: then its opposite is written
         negative = x["carried"]["carry"] < 0
         opposite = carried(F.transform(x["limbs"], lambda v: -v))["out"]
-        text = bound(written(F.when(negative, opposite).otherwise(x["carried"]["out"])), pointed)
+        text = _bound(written(F.when(negative, opposite).otherwise(x["carried"]["out"])), pointed)
         return F.when(negative, F.concat(F.lit("-"), text)).otherwise(text)
 
     def aligned(scale: Column) -> Column:
@@ -253,7 +323,7 @@ def _limbs(numbers: Column, digits: Column) -> Column:
     def padded(rows: Column) -> Column:
         # two limbs to spare take the carry of any number of amounts
         width = (F.floor(F.array_max(F.transform(rows, lambda n: F.length(n["digits"]))) / _LIMB).cast("int") + 3) * _LIMB
-        return bound(
+        return _bound(
             width,
             lambda w: F.struct(
                 w.alias("width"),
@@ -261,8 +331,8 @@ def _limbs(numbers: Column, digits: Column) -> Column:
             ),
         )
 
-    rows = bound(bound(scale, aligned), padded)
-    return bound(bound(bound(rows, summed), lambda v: F.struct(v.alias("limbs"), carried(v).alias("carried"))), shown)
+    rows = _bound(_bound(scale, aligned), padded)
+    return _bound(_bound(_bound(rows, summed), lambda v: F.struct(v.alias("limbs"), carried(v).alias("carried"))), shown)
 
 
 def decimal_text(value: Column, digits: Column) -> Column:

@@ -91,6 +91,29 @@ def test_totals_of_any_size(spark):
     assert totals(spark, rows) == want
 
 
+def test_totals_of_wide_amounts_need_no_limbs(spark, monkeypatch):
+    """Amounts of up to 28 digits on either side of the point are summed as two decimals."""
+    from coinfold.functions import amounts
+
+    monkeypatch.setattr(amounts, "_limbs", lambda *_: F.raise_error(F.lit("limbs")).cast("string"))
+    rnd = random.Random(21)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def number():
+        kinds = [f"{digits(rnd.randint(1, 28))}.{digits(rnd.randint(0, 28))}", digits(25), "1." + digits(25), "2e-8", "0.50", "x", None]
+        n = rnd.choice(kinds)
+        return rnd.choice(["", "-", "+"]) + n if n and n != "x" else n
+
+    wide = "1" * 25 + "." + "2" * 25
+    fixed = [
+        ([wide], [wide]), ([wide, "-" + wide], ["0.5"]), (["-" + wide], []), (["0." + "0" * 27 + "1"], ["1"]), (["9" * 28 + "." + "9" * 28] * 9, []),
+        (["9" * 25 + ".5"], ["9" * 25 + ".50"]), ([wide, "1.0" + "0" * 30], []), (["-0." + "0" * 25], []), ([], [wide]),
+    ]
+    rows = fixed + [(["1" + digits(24) + ".1"] + [number() for _ in range(rnd.randrange(5))], [number() for _ in range(rnd.randrange(4))]) for _ in range(150)]
+    want = [(written(a, [1] * len(a)), written(a + b, [1] * len(a) + [-1] * len(b))) for a, b in rows]
+    assert totals(spark, rows) == want
+
+
 def test_totals_of_too_many_digits_are_loud(spark):
     with pytest.raises(Exception, match="too many digits"):
         totals(spark, [(["1e999999"], [])])

@@ -16,6 +16,15 @@ OP_RETURN = 0x6A
 WORDS_AT_ONCE = 128
 STRIDE = 64
 _NO_HEX = r"[^0-9a-f\s]"
+# One whole operation of a script that holds no push with length bytes: a direct push with its data, or a byte.
+_PUSHES = "|".join(
+    f"{high:x}(?:{'|'.join(f'{n % 16:x}[0-9a-f]{{{2 * n}}}' for n in range(max(1, 16 * high), min(16 * high + 15, LAST_DIRECT_PUSH) + 1))})"
+    for high in range(LAST_DIRECT_PUSH // 16 + 1)
+)
+_OPERATION = rf"(?:00|4f|[5-9a-f][0-9a-f]|{_PUSHES})"
+# Possessive, so that it is matched in a loop and takes no stack frame per operation.
+_PLAIN_SCRIPT = rf"^{_OPERATION}++\z"
+_PLAIN_RETURN = rf"^6a(?:{_PUSHES})(?:[0-9a-f]{{2}})*+\z"
 
 
 def _bare_hex(script: Column) -> Column:
@@ -72,15 +81,21 @@ def op_return_payload(script: Column) -> Column:
         return F.when(size == 1, F.lit("")).when((op <= max(PUSH_LENGTH_BYTES)) & inside, data)
 
     is_return = F.lower(F.trim(script)).rlike("^(?:0x)?6a")
-    return F.when(is_return, _bind(_bare_hex(script), pushed))
+    # Plain text whose first push is a direct one needs no arithmetic on bytes.
+    return (
+        F.when(script == "6a", F.lit(""))
+        .when(script.rlike(_PLAIN_RETURN), F.substring(script, F.lit(5), 2 * _byte(script, F.lit(1)).cast("int")))
+        .when(is_return, _bind(_bare_hex(script), pushed))
+    )
 
 
 def disassemble(script: Column) -> Column:
     """Readable operations of a script; null for missing, malformed or truncated scripts.
 
-    A fold over the bytes: every step reads the operation at the current position and
-    moves behind it; steps behind the end do nothing. The words are listed, and joined to a text whenever
-    there are many, so that a long script's words are not copied at each operation.
+    Plain text without pushes that carry their length is cut into operations by one expression, see
+    :func:`_plain_operations`. Others are read by a fold over the bytes: every step reads the operation at the
+    current position and moves behind it; steps behind the end do nothing. The words are listed, and joined to
+    a text whenever there are many, so that a long script's words are not copied at each operation.
     """
     state_type = "struct<at:int,words:array<string>,texts:array<string>>"
 
@@ -115,13 +130,7 @@ def disassemble(script: Column) -> Column:
         )
         for code, width in PUSH_LENGTH_BYTES.items():
             result = result.when(op == code, long_push(code, width))
-        name = (
-            F.when(op == OP_0, F.lit("OP_0"))
-            .when(op.between(OP_1, OP_16), F.concat(F.lit("OP_"), (op - OP_1 + 1).cast("string")))
-            .when(op == OP_RETURN, F.lit("OP_RETURN"))
-            .otherwise(F.concat(F.lit("OP_UNKNOWN_0x"), F.lpad(F.hex(op), 2, "0")))
-        )
-        return result.otherwise(read(state, after, name))
+        return result.otherwise(read(state, after, _name(op, F.lpad(F.hex(op), 2, "0"))))
 
     def step(data: Column, size: Column, state: Column) -> Column:
         # A null state marks a truncated push; behind the end the state stays as it is.
@@ -151,7 +160,33 @@ def disassemble(script: Column) -> Column:
         return _bind(F.octet_length(data), lambda size: scan(data, size))
 
     # as bytes, where a position is found without reading what is before it
-    return F.when(F.length(script) > 0, _bind(F.unhex(_bare_hex(script)), run))
+    return F.when(script.rlike(_PLAIN_SCRIPT), _plain_operations(script)).when(
+        F.length(script) > 0, _bind(F.unhex(_bare_hex(script)), run)
+    )
+
+
+def _name(op: Column, in_hex: Column) -> Column:
+    """Name of an operation that pushes no data."""
+    return (
+        F.when(op == OP_0, F.lit("OP_0"))
+        .when(op.between(OP_1, OP_16), F.concat(F.lit("OP_"), (op - OP_1 + 1).cast("string")))
+        .when(op == OP_RETURN, F.lit("OP_RETURN"))
+        .otherwise(F.concat(F.lit("OP_UNKNOWN_0x"), in_hex))
+    )
+
+
+def _plain_operations(script: Column) -> Column:
+    """Readable operations of a script that :data:`_PLAIN_SCRIPT` matches."""
+
+    def read(operation: Column) -> Column:
+        def shown(op: Column) -> Column:
+            data = F.upper(F.substring(operation, F.lit(3), F.length(operation)))
+            push = F.concat(F.lit("OP_PUSHBYTES_"), op.cast("string"), F.lit(" "), data)
+            return F.when(op.between(1, LAST_DIRECT_PUSH), push).otherwise(_name(op, F.upper(operation)))
+
+        return _bind(_byte(operation, F.lit(0)), shown)
+
+    return F.array_join(F.transform(F.regexp_extract_all(script, F.lit(f"({_OPERATION})"), F.lit(1)), read), " ")
 
 
 def _number_at(data: Column, index: Column, width: int) -> Column:

@@ -174,6 +174,24 @@ def test_disassembly(spark):
     assert [r[0] for r in got] == list(cases.values())
 
 
+def test_plain_scripts_are_read_without_the_fold(spark, monkeypatch):
+    """Every operation but pushes with length bytes, whole, cut off and in a row; and what the fold says to the same."""
+    from coinfold.functions import scripts
+
+    one = ["%02x" % op + "c5" * (op if op <= 75 else 0) for op in range(256) if op not in (76, 77, 78)]
+    cases = [*one, *(h + "51" for h in one), *(h[:-2] for h in one), *(h[:-1] for h in one), "".join(one), *(f"6a{h}" for h in one)]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(cases)], "i int, h string").repartition(2)
+    read = lambda: [r[1:] for r in sorted(df.select("i", disassemble(F.col("h")), op_return_payload(F.col("h"))).collect())]
+    quick = read()
+    monkeypatch.setattr(scripts, "_PLAIN_SCRIPT", "^never$")
+    monkeypatch.setattr(scripts, "_PLAIN_RETURN", "^never$")
+    assert quick == read()
+    monkeypatch.undo()
+    monkeypatch.setattr(scripts, "_bind", lambda value, body: F.raise_error("folded") if "unhex" in str(value) else body(value))
+    plain = df.where("i < 253").select(disassemble(F.col("h")))
+    assert plain.count() == 253 and all(r[0] for r in plain.collect())
+
+
 def test_asset_sums(spark):
     rows = [
         (0, [("a", 1), ("b", 2), ("a", 3), (None, 9), ("c", None)]), (1, []), (2, None),

@@ -41,10 +41,12 @@ class PredicateError(ValueError):
 
 @dataclass(frozen=True)
 class Value:
-    """A resolved path: the Column, and its type as far as the plan knows it."""
+    """A resolved path: the Column, and its type as far as the plan knows it. A path into a list may lead to what
+    is made of the whole list."""
 
     column: Column
     dtype: T.DataType | None
+    listed: bool = False
 
 
 def matches(df: DataFrame, predicate: str | dict[str, Any]) -> Column:
@@ -127,8 +129,13 @@ def _leaf(node: dict[str, Any], resolve, negated: bool) -> Column:
         return ~missing if wanted else missing
     if value is None:
         return F.lit(negated)
-    test = _test(value, op, literal)
-    return missing | ~test if negated else test
+
+    def decided(value: Value) -> Column:
+        test = _test(value, op, literal)
+        return value.column.isNull() | ~test if negated else test
+
+    # No scan can use a test on an element of a list. Bound, the list is made once, however often the test looks at it.
+    return F.transform(F.array(value.column), lambda x: decided(Value(x, value.dtype)))[0] if value.listed else decided(value)
 
 
 def _wanted(literal: Any) -> bool:
@@ -146,6 +153,7 @@ def _resolver(df: DataFrame):
     def resolve(path: list[str]) -> Value | None:
         dtype: T.DataType = df.schema
         column: Column | None = None
+        listed = False
         for at, part in enumerate(path):
             if isinstance(dtype, T.StructType):
                 if part not in dtype.names:
@@ -158,7 +166,7 @@ def _resolver(df: DataFrame):
                     return None
                 index = int(part)
                 column = F.try_element_at(column, F.lit(index + 1 if index >= 0 else index))
-                dtype = dtype.elementType
+                dtype, listed = dtype.elementType, True
             elif isinstance(dtype, T.MapType):
                 column = F.try_element_at(column, F.lit(part))
                 dtype = dtype.valueType
@@ -166,7 +174,7 @@ def _resolver(df: DataFrame):
                 return _variant(column, path[at:])
             else:
                 return None
-        return Value(column, dtype)
+        return Value(column, dtype, listed)
 
     return resolve
 

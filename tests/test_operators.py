@@ -94,6 +94,20 @@ def test_paths_into_lists(spark):
     assert kept(spark, leaf("inputs.-1.value", "eq", 0.6), *objects) == [1]
 
 
+def test_a_list_is_made_once_for_a_test(spark):
+    """However often a test looks at an element, the list it is in is made once; below ``not`` as well."""
+    rows = [(1, ["5", "1e30"]), (2, ["x"]), (3, None), (4, ["-7", None])]
+    made = spark.createDataFrame(rows, "i int, v array<string>").select(
+        "i", F.transform("v", lambda x: F.struct(F.concat(x, F.lit("")).alias("value"), F.array(x).alias("all"))).alias("made")
+    )
+    first, last = leaf("made.0.value", "gt", 0), leaf("made.-1.all", "contains", "1e30")
+    for predicate, want in ((first, [1, 2]), ({"not": first}, [3, 4]), (last, [1]), ({"not": last}, [2, 3, 4])):
+        found = predicates.where(made, predicate).select("i")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r.i for r in found.collect()) == want
+        assert plan.count("named_struct(value") <= (2 if "not" in predicate else 1)
+
+
 def test_leaf_operators(spark):
     objects = [
         {"a": "abc", "n": 10, "l": [1, "x"], "f": True},

@@ -453,3 +453,33 @@ def test_the_index_follows_moved_and_replaced_keys(spark, tmp_path, monkeypatch)
     batch.commit()
     put(spark, path, [("a", 0, "last", 3)])
     assert [r for r in stored(spark, path) if r[0] == "a"] == [("a", 0, "last", 0)]
+
+
+def test_a_table_write_leaves_no_shuffle_behind(spark, tmp_path):
+    """What it shuffled is gone when it has ended, its files are compressed with zstd, and the session's setting is as before."""
+    import time
+
+    from coinfold.schemas import TXOUTS
+    from coinfold.sources.tables import read_table, write_keyed
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(setting, None)
+    rows = spark.range(200).selectExpr(
+        "concat('t', id % 50) AS txid", "cast(0 AS int) AS vout", "id AS block_height", "concat('a', id) AS address"
+    )
+    path = str(tmp_path / "txouts")
+    write_keyed(spark, path, TXOUTS, rows, ("txid", "vout"), "block_height", bucket_size=60)
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(setting, None) == was
+    read = read_table(spark, path, TXOUTS)
+    assert sorted(r.address for r in read.collect()) == [f"a{i}" for i in range(150, 200)]
+    assert all(f.endswith(".zstd.parquet") for f in read.inputFiles())

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -483,3 +484,48 @@ def test_a_table_write_leaves_no_shuffle_behind(spark, tmp_path):
     read = read_table(spark, path, TXOUTS)
     assert sorted(r.address for r in read.collect()) == [f"a{i}" for i in range(150, 200)]
     assert all(f.endswith(".zstd.parquet") for f in read.inputFiles())
+
+
+class Stop(Exception):
+    """Ends a query where it was looked at."""
+
+
+def orders_at(spark, tmp_path, orders=60):
+    rows = spark.range(1, orders).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS DOUBLE) AS o_totalprice",
+        "TIMESTAMP '1998-01-01 00:00:00' AS o_orderdate",
+    )
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+def test_a_day_is_exported_from_parsed_blocks(spark, tmp_path, monkeypatch):
+    """The export is given blocks that were parsed, and keeps no second copy of them."""
+    from coinfold.plans import catalog_jobs
+
+    seen = {}
+
+    def export(raw, *_, land=True, enrich_from, **__):
+        seen.update(land=land, plans=[f._jdf.queryExecution().optimizedPlan().toString() for f in (raw, enrich_from)])
+        raise Stop
+
+    monkeypatch.setattr(catalog_jobs.item_source, "export_partitions", export)
+    with pytest.raises(Stop):
+        catalog_jobs.exported_day_enriched(spark, orders_at(spark, tmp_path))
+    assert not seen["land"] and not any("from_json" in plan for plan in seen["plans"])
+
+
+def test_what_has_landed_is_one_micro_batch(spark, tmp_path, monkeypatch):
+    """However many files lie there, the stream takes them at once."""
+    from coinfold.plans import catalog_jobs
+
+    def stream(_, path, max_files=100):
+        raise Stop(max_files, len([f for f in os.listdir(path) if f.endswith(".txt")]))
+
+    monkeypatch.setattr(catalog_jobs, "raw_block_stream", stream)
+    monkeypatch.setattr(catalog_jobs, "_orders", lambda spark, sf: spark.read.parquet(f"{sf}/orders.parquet").withColumn(
+        "o_orderkey", F.col("o_orderkey") + 2000).repartition(120, "o_orderkey"))
+    with pytest.raises(Stop) as stopped:
+        catalog_jobs.followed_out_of_order(spark, orders_at(spark, tmp_path, 1000))
+    most, landed = stopped.value.args
+    assert 100 < landed <= most
